@@ -17,9 +17,18 @@ from ratings_engine.operators import gold
 from ratings_engine.operators.silver import build_silver
 
 
+SPREAD = {"lineitem": "l_orderkey", "documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # A small file is one row group and would keep all but one core idle; large inputs have
+    # more splits than cores and are left as they are.
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, SPREAD[name])
+    return df
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ KEY_SEPARATOR = "||"
 PRICE_PATTERN = r"(\d+(?:\.\d+)?)"
 VERIFIED_LABEL = "Verified"
 NON_VERIFIED_LABEL = "Non-Verified"
-# Whitespace as Unicode defines it plus the four separator control characters.
-EDGE_SPACE_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# White space as Python's str.strip() knows it.
+EDGE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # End of fixed values.
 
 
@@ -37,8 +37,8 @@ def star(rating: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of every kind at both ends (trim() removes spaces only)."""
-    return F.regexp_replace(text, EDGE_SPACE_PATTERN, "")
+    """Remove white space of every kind at both ends (trim() alone removes spaces only)."""
+    return F.btrim(text, F.lit(EDGE_SPACE))
 
 
 def purchase_type(flag: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratings_engine import schemas
@@ -36,40 +36,53 @@ def daily_product(silver: DataFrame) -> DataFrame:
 
 
 def _by_day():
-    return Window.partitionBy("parent_asin", "category").orderBy(F.unix_date("review_date"))
+    return Window.partitionBy("parent_asin", "category").orderBy("_day")
 
 
-def cumulative(daily: DataFrame) -> DataFrame:
-    """Running review count and running average rating."""
+def _cumulative() -> dict[str, Column]:
     so_far = _by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reviews = F.sum("daily_review_count").over(so_far)
-    return daily.withColumns({
-        "total_reviews": reviews,
-        "average_rating": F.sum("daily_rating_sum").over(so_far) / reviews})
+    return {"total_reviews": reviews,
+            "average_rating": F.sum("daily_rating_sum").over(so_far) / reviews}
+
+
+def _rolling(days: int) -> dict[str, Column]:
+    recent = _by_day().rangeBetween(1 - days, 0)
+    return {f"rolling_{days}d_avg_rating":
+            F.sum("daily_rating_sum").over(recent) / F.sum("daily_review_count").over(recent)}
+
 
+def _last_price(days: int) -> dict[str, Column]:
+    recent = _by_day().rangeBetween(1 - days, 0)
+    return {"avg_price": F.last("daily_avg_price", ignorenulls=True).over(recent)}
 
-def _last_days(days: int):
-    return _by_day().rangeBetween(1 - days, 0)
+
+def _over_days(daily: DataFrame, *columns: dict[str, Column]) -> DataFrame:
+    """Add window columns that all order by one day number, so Spark sorts once for them."""
+    wanted = {name: column for group in columns for name, column in group.items()}
+    return (daily.withColumn("_day", F.unix_date("review_date"))
+            .withColumns(wanted).drop("_day"))
+
+
+def cumulative(daily: DataFrame) -> DataFrame:
+    """Running review count and running average rating."""
+    return _over_days(daily, _cumulative())
 
 
 def rolling(daily: DataFrame, days: int = ROLLING_DAYS) -> DataFrame:
     """Average rating over the last calendar days, today included, each review counting once."""
-    recent = _last_days(days)
-    return daily.withColumn(
-        f"rolling_{days}d_avg_rating",
-        F.sum("daily_rating_sum").over(recent) / F.sum("daily_review_count").over(recent))
+    return _over_days(daily, _rolling(days))
 
 
 def last_price(daily: DataFrame, days: int = ROLLING_DAYS) -> DataFrame:
     """Latest known daily price within the last calendar days."""
-    return daily.withColumn(
-        "avg_price", F.last("daily_avg_price", ignorenulls=True).over(_last_days(days)))
+    return _over_days(daily, _last_price(days))
 
 
 def metrics_from_daily(daily: DataFrame, start=None, end=None) -> DataFrame:
     """Cumulative and rolling metrics of daily_product(), restricted after the windows."""
-    return restrict(last_price(rolling(cumulative(daily))), start, end).select(
-        *schemas.PRODUCT_METRICS.names)
+    metrics = _over_days(daily, _cumulative(), _rolling(ROLLING_DAYS), _last_price(ROLLING_DAYS))
+    return restrict(metrics, start, end).select(*schemas.PRODUCT_METRICS.names)
 
 
 def product_metrics(silver: DataFrame, start=None, end=None) -> DataFrame:

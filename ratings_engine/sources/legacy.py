@@ -63,7 +63,7 @@ def read_raw_any(spark: SparkSession, path, fields: Sequence[str],
     options = {"columnNameOfCorruptRecord": _CORRUPT}
     line = F.col("line")
     is_array = line.startswith("[")
-    closed = F.when(line.rlike(r"(?s)^\{.*\}$"), line)
+    closed = F.when(line.startswith("{") & line.endswith("}"), line)
     lines = (spark.read.text(path).select(strip(F.col("value")).alias("line"))
              .where("line not in ('', 'null', 'None')"))
     first = lines.select(

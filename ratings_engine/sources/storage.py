@@ -45,6 +45,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds anything but marker and hidden files."""
+    fs, hadoop_path = _filesystem(spark, path)
+    return fs.exists(hadoop_path) and any(
+        status.getPath().getName()[:1] not in ("_", ".") for status in fs.listStatus(hadoop_path))
+
+
 def size_bytes(spark: SparkSession, path: str) -> int:
     fs, hadoop_path = _filesystem(spark, path)
     return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0

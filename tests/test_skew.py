@@ -1,0 +1,29 @@
+import pytest
+from tests.builders import rows_of
+
+from ratings_engine.operators.skew import heavy_keys, salted_join
+
+
+@pytest.fixture
+def sides(spark):
+    left = spark.createDataFrame(
+        [("hot", "c", i) for i in range(300)] + [(None, "c", i) for i in range(200)]
+        + [(f"k{i % 40}", "c", i) for i in range(80)], "k string, c string, id int")
+    right = spark.createDataFrame(
+        [("hot", "c", 1), ("k1", "c", 2), ("k2", "d", 3), ("lonely", "c", 4)],
+        "k string, c string, v int")
+    return left, right
+
+
+def test_heavy_keys_are_found_and_bounded(sides):
+    left, _ = sides
+    assert rows_of(heavy_keys(left, ["k", "c"], 100)) == [(None, "c"), ("hot", "c")]
+    assert rows_of(heavy_keys(left, ["k", "c"], 100, most=1)) == [("hot", "c")]
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+def test_salting_changes_nothing(sides, how):
+    left, right = sides
+    heavy = heavy_keys(left, ["k", "c"], 100)
+    salted = salted_join(left, right, ["k", "c"], how, heavy, spread=["id"], fanout=8)
+    assert rows_of(salted) == rows_of(left.join(right, ["k", "c"], how))
