@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ratings_engine import schemas
 from ratings_engine.operators import gold
-from ratings_engine.operators.silver import build_silver
+from ratings_engine.operators.silver import build_silver, is_small_enough
+from ratings_engine.sources import storage
 
 
 SPREAD = {"lineitem": "l_orderkey", "documents": "doc_id"}
@@ -31,6 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def raw_shards(spark: SparkSession, sf_dir: str) -> int:
+    """Number of raw folders to spread the reviews over: a share of the splits they come from."""
+    splits = spark.read.parquet(f"{sf_dir}/lineitem.parquet").rdd.getNumPartitions()
+    return max(4, splits // 4)
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name", "p_size")
     returned = F.col("l_returnflag") == "R"
@@ -81,7 +88,13 @@ def newest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_silver(reviews(spark, sf_dir), metadata(spark, sf_dir))
+    return built(spark, sf_dir, reviews(spark, sf_dir))
+
+
+def built(spark: SparkSession, sf_dir: str, some_reviews: DataFrame) -> DataFrame:
+    """Silver rows of some reviews; the metadata is as large as the part table."""
+    small = is_small_enough(storage.size_bytes(spark, f"{sf_dir}/part.parquet"))
+    return build_silver(some_reviews, metadata(spark, sf_dir), small)
 
 
 def product_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,7 @@ def src_read_jsonl(spark, sf_dir):
 def src_bulk_scan(spark, sf_dir):
     path = _scratch(spark)
     write_lines(json_lines(b.metadata(spark, sf_dir), b.RAW_METADATA_COLUMNS), path, "metadata",
-                "meta_")
+                b.raw_shards(spark, sf_dir), "meta_")
     return (raw.read_jsonl_tree(spark, path, schemas.METADATA_RAW)
             .withColumn("categories", F.array_join("categories", "|")))
 
@@ -58,7 +58,8 @@ def src_bulk_scan(spark, sf_dir):
 @query
 def src_category_from_path(spark, sf_dir):
     path = _scratch(spark)
-    write_lines(json_lines(b.reviews(spark, sf_dir), b.RAW_REVIEW_COLUMNS), path, "reviews")
+    write_lines(json_lines(b.reviews(spark, sf_dir), b.RAW_REVIEW_COLUMNS), path, "reviews",
+                b.raw_shards(spark, sf_dir))
     return raw.with_category_from_path(
         raw.read_jsonl_tree(spark, path, schemas.REVIEW_RAW), "reviews")
 
@@ -209,11 +210,11 @@ def silver_build(spark, sf_dir):
 
 
 def _two_batches(spark, sf_dir, path, times=1):
-    rows, products = b.reviews(spark, sf_dir), b.metadata(spark, sf_dir)
+    rows = b.reviews(spark, sf_dir)
     batches = [rows.where("ingestion_date <= date'2026-01-02'"),
                rows.where("ingestion_date > date'2026-01-02'")]
     for batch in [batches[0]] + batches[1:] * times:
-        upsert.upsert_table(spark, sv.build_silver(batch, products), path, schemas.SILVER_TABLE)
+        upsert.upsert_table(spark, b.built(spark, sf_dir, batch), path, schemas.SILVER_TABLE)
     return _comparable(tables.read_slice(spark, path, schemas.SILVER_TABLE))
 
 
@@ -321,10 +322,10 @@ def gold_compaction(spark, sf_dir):
 
 def _silver_batches(spark, sf_dir, root):
     """Silver loaded in two batches, the second being the last day's deliveries."""
-    rows, products = b.reviews(spark, sf_dir), b.metadata(spark, sf_dir)
+    rows = b.reviews(spark, sf_dir)
     for test in ("<", "="):
         batch = rows.where(f"ingestion_date {test} date'2026-01-04'")
-        upsert.upsert_table(spark, sv.build_silver(batch, products),
+        upsert.upsert_table(spark, b.built(spark, sf_dir, batch),
                             medallion.silver_path(root), schemas.SILVER_TABLE)
         yield None if test == "<" else "2026-01-04"
 
@@ -580,7 +581,7 @@ def _damaged_lines(spark, sf_dir):
 @query
 def audit_raw(spark, sf_dir):
     path = _scratch(spark)
-    write_lines(_damaged_lines(spark, sf_dir), path, "reviews")
+    write_lines(_damaged_lines(spark, sf_dir), path, "reviews", b.raw_shards(spark, sf_dir))
     return audit.raw_counts(spark, path)
 
 
@@ -602,20 +603,21 @@ def audit_gold(spark, sf_dir):
 @query
 def audit_dropoff(spark, sf_dir):
     path = _scratch(spark)
-    write_lines(_damaged_lines(spark, sf_dir), path, "reviews")
+    write_lines(_damaged_lines(spark, sf_dir), path, "reviews", b.raw_shards(spark, sf_dir))
     bronze = raw.with_batch(raw.with_category_from_path(
         raw.read_jsonl_tree(spark, path, schemas.REVIEW_RAW), "reviews"), None, "2026-02-01")
-    silver = sv.build_silver(bronze, b.metadata(spark, sf_dir))
+    silver = b.built(spark, sf_dir, bronze)
     return audit.layer_dropoff(audit.raw_counts(spark, path), bronze, silver)
 
 
 @query
 def medallion_end_to_end(spark, sf_dir):
     """Raw files of everything to Gold: ingest, Silver, checks, Gold."""
-    root = _scratch(spark)
-    write_lines(json_lines(b.reviews(spark, sf_dir), b.RAW_REVIEW_COLUMNS), f"{root}/raw", "reviews")
+    root, shards = _scratch(spark), b.raw_shards(spark, sf_dir)
+    write_lines(json_lines(b.reviews(spark, sf_dir), b.RAW_REVIEW_COLUMNS), f"{root}/raw", "reviews",
+                shards)
     write_lines(json_lines(b.newest_metadata(spark, sf_dir), b.RAW_METADATA_COLUMNS),
-                f"{root}/raw", "metadata", "meta_")
+                f"{root}/raw", "metadata", shards, "meta_")
     medallion.run(spark, f"{root}/raw", f"{root}/tables", ingestion_date="2026-02-01")
     table = schemas.PRODUCT_METRICS_TABLE
     metrics = tables.read_slice(spark, medallion.gold_path(f"{root}/tables", table), table)

@@ -52,17 +52,31 @@ def prepare_metadata(metadata: DataFrame) -> DataFrame:
     return newest.drop("ingestion_date")
 
 
-def enrich(reviews: DataFrame, products: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def enrich(reviews: DataFrame, products: DataFrame, heavy: DataFrame | None = None,
+           small_products: bool = False) -> DataFrame:
     """Left join with the product columns; a review without a product keeps nulls.
 
-    Broadcasting is left to Spark, which checks the size first. `heavy` lists products to
-    salt; by default those with very many reviews here."""
+    small_products says that the caller has checked the size of the products (see
+    is_small_enough): they are broadcast then. Otherwise the join is salted for the products in
+    `heavy`, by default those with very many reviews here."""
+    if small_products:
+        return reviews.join(F.broadcast(products), list(PRODUCT_KEY), "left")
     if heavy is None:
         heavy = heavy_keys(reviews.select(*PRODUCT_KEY), PRODUCT_KEY)
     return salted_join(reviews, products, PRODUCT_KEY, "left", heavy, spread=["review_id"])
 
 
-def build_silver(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
+# Stored size up to which product metadata is broadcast. Columnar files of titles and numbers
+# grow a few times when read, so this stays within what one executor holds with ease.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def is_small_enough(stored_bytes: int) -> bool:
+    return stored_bytes <= BROADCAST_BYTES
+
+
+def build_silver(reviews: DataFrame, metadata: DataFrame,
+                 small_metadata: bool = False) -> DataFrame:
     """Bronze reviews and metadata to the Silver columns. Duplicates go before the join."""
     keyed = with_review_id(reviews)
     unique = dedup_latest(keyed, ["review_id"], newest_first(keyed, ["review_id"]))
@@ -70,5 +84,5 @@ def build_silver(reviews: DataFrame, metadata: DataFrame) -> DataFrame:
         {"title": "review_title", "text": "review_text", "timestamp": "raw_timestamp"})
     # Counted on the narrow input: an upper bound of the counts after deduplication.
     heavy = heavy_keys(reviews.select(*PRODUCT_KEY), PRODUCT_KEY)
-    return enrich(typed, prepare_metadata(metadata), heavy).select(*schemas.SILVER.names)
-
+    return enrich(typed, prepare_metadata(metadata), heavy, small_metadata).select(
+        *schemas.SILVER.names)

@@ -23,24 +23,22 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS,
             .orderBy(F.desc("_rows"), *keys).limit(most).select(*keys))
 
 
-def _mark(df: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
-    marks = heavy.select(*(F.col(k).alias(f"_heavy_{k}") for k in keys), F.lit(True).alias("_heavy"))
-    same = [F.col(k).eqNullSafe(F.col(f"_heavy_{k}")) for k in keys]
-    return df.join(F.broadcast(marks), same, "left").drop(*(f"_heavy_{k}" for k in keys))
-
-
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
                 heavy: DataFrame, spread: Sequence[str], fanout: int = FANOUT) -> DataFrame:
     """left ⋈ right on keys for how in (left, left_semi, inner), right being unique on keys.
 
     Rows of heavy keys on the left are spread over `fanout` salts by a hash of the `spread`
     columns, and the one matching row on the right is repeated per salt; every other row keeps
-    salt 0. The result equals the plain join. Which physical join runs stays Spark's choice."""
+    salt 0. The result equals the plain join. Which physical join runs stays Spark's choice: the
+    right side keeps its size estimate, so a small one is still broadcast and nothing of the
+    left is shuffled."""
+    marks = F.broadcast(heavy.select(*(F.col(k).alias(f"_heavy_{k}") for k in keys),
+                                     F.lit(True).alias("_heavy")))
+    is_heavy = [F.col(k).eqNullSafe(F.col(f"_heavy_{k}")) for k in keys]
     salt = F.when(F.col("_heavy"), F.pmod(F.xxhash64(*spread), F.lit(fanout)).cast("int"))
-    salts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(fanout - 1)))
-    spread_left = (_mark(left, keys, heavy)
-                   .withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_heavy"))
-    repeated_right = (_mark(right, keys, heavy)
-                      .withColumn("_salt", F.explode(F.coalesce(salts, F.array(F.lit(0)))))
-                      .drop("_heavy"))
-    return spread_left.join(repeated_right, [*keys, "_salt"], how).drop("_salt")
+    salted_left = (left.join(marks, is_heavy, "left")
+                   .withColumn("_salt", F.coalesce(salt, F.lit(0))).select(*left.columns, "_salt"))
+    further = F.explode(F.sequence(F.lit(1), F.lit(fanout - 1)))
+    salted_right = right.withColumn("_salt", F.lit(0)).unionByName(
+        right.join(marks, is_heavy, "left_semi").withColumn("_salt", further))
+    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
