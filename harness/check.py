@@ -15,9 +15,14 @@ import duckdb
 from pyspark.sql import SparkSession
 
 
+TYPES = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "INTEGER",
+         "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def session(cores: str = "8") -> SparkSession:
     spark = (SparkSession.builder.master(f"local[{cores}]").appName("ratings_engine")
              .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
              .config("spark.driver.memory", os.environ.get("CHECK_MEMORY", "8g"))
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false").getOrCreate())
@@ -40,22 +45,21 @@ def _plain(value):
 
 
 def compare(spark, connection, function, sql: str, sf_dir: str) -> str:
-    """'' when names, types of Python values and rows agree, else what differs."""
+    """'' when names, types and rows agree, else what differs."""
     frame = function(spark, sf_dir)
     names = sorted(frame.columns)
     got = Counter(tuple(_plain(v) for v in row) for row in frame.select(*names).collect())
-    result = connection.execute(sql)
+    result = connection.sql(sql)
     found = [d[0] for d in result.description]
     if sorted(found) != names:
         return f"columns {names} against {sorted(found)}"
     order = [found.index(n) for n in names]
     want = Counter(tuple(_plain(row[i]) for i in order) for row in result.fetchall())
     if got == want:
-        kinds = [{type(v) for row in side for v in (row[i],) if v is not None}
-                 for side in (got, want) for i in range(len(names))]
-        half = len(names)
-        odd = [names[i] for i in range(half) if kinds[i] != kinds[i + half]]
-        return f"types of {odd}" if odd else ""
+        kinds = dict(frame.dtypes)
+        odd = [(d[0], kinds[d[0]], str(d[1])) for d in result.description
+               if TYPES.get(kinds[d[0]]) != str(d[1])]
+        return f"types differ: {odd}" if odd else ""
     return (f"{got.total()} rows against {want.total()}; only Spark {list((got - want).items())[:2]}, "
             f"only DuckDB {list((want - got).items())[:2]}")
 

@@ -12,6 +12,8 @@ VERIFIED_LABEL = "Verified"
 NON_VERIFIED_LABEL = "Non-Verified"
 # White space as Python's str.strip() knows it.
 EDGE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+# Timestamps count microseconds in 64 bits.
+LAST_EPOCH_MS = 2**63 // 1000 - 1000
 # End of fixed values.
 
 
@@ -22,8 +24,10 @@ def review_id(user_id: Column, parent_asin: Column, epoch_ms: Column) -> Column:
 
 
 def epoch_ms_to_timestamp(epoch_ms: Column) -> Column:
-    """Whole seconds of an epoch in milliseconds, cut towards zero."""
-    return F.timestamp_millis(epoch_ms - epoch_ms % 1000)
+    """Whole seconds of an epoch in milliseconds, cut towards zero; null beyond what a
+    timestamp can hold."""
+    held = epoch_ms.between(-LAST_EPOCH_MS, LAST_EPOCH_MS)
+    return F.when(held, F.timestamp_millis(epoch_ms - epoch_ms % 1000))
 
 
 def parse_price(raw: Column) -> Column:

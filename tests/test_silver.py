@@ -19,10 +19,12 @@ def test_review_id_ignores_asin_and_takes_null_as_empty(spark):
 
 def test_event_time_is_cut_to_seconds_towards_zero(spark):
     rows = with_event_time(bronze_reviews(
-        spark, dict(timestamp=1_999), dict(timestamp=-1_500), dict(timestamp=None))).select(
+        spark, dict(timestamp=1_999), dict(timestamp=-1_500), dict(timestamp=None),
+        dict(timestamp=2**63 - 1))).select(
         F.col("review_timestamp").cast("string"), F.col("review_date").cast("string")).collect()
     assert [tuple(r) for r in rows] == [
-        ("1970-01-01 00:00:01", "1970-01-01"), ("1969-12-31 23:59:59", "1969-12-31"), (None, None)]
+        ("1970-01-01 00:00:01", "1970-01-01"), ("1969-12-31 23:59:59", "1969-12-31"), (None, None),
+        (None, None)]
 
 
 def test_newest_delivery_survives(spark):
