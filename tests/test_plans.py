@@ -1,0 +1,107 @@
+"""The physical plans the operators are designed for."""
+
+import re
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+from tests.builders import bronze_metadata, bronze_reviews, silver
+
+from ratings_engine import schemas
+from ratings_engine.operators import bi, gold
+from ratings_engine.operators.bundle import review_bundle
+from ratings_engine.operators.silver import build_silver, dedup_latest, newest_first
+from ratings_engine.operators.upsert import upsert_table
+from ratings_engine.sources import storage, tables
+
+
+def plan(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [re.sub(r"^[\s:+\-*()0-9]*", "", line) for line in text.splitlines()]
+
+
+def count(lines, start):
+    return sum(line.startswith(start) for line in lines)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "silver")
+    upsert_table(spark, silver(spark, {}, dict(category="Books")), path, schemas.SILVER_TABLE)
+    return path
+
+
+@pytest.fixture
+def piece(spark, stored):
+    return tables.read_slice(spark, stored, schemas.SILVER_TABLE, "Books", "2020-01-01", "2020-12-31")
+
+
+def test_product_metrics_share_one_shuffle_and_sort_between_all_windows(piece):
+    lines = plan(gold.product_metrics(piece))
+    assert count(lines, "Exchange") == 2 and count(lines, "Sort ") == 1 and count(lines, "Window") == 1
+    assert any("partial_sum" in line for line in lines)
+
+
+def test_gold_scans_are_pruned_and_pushed_down(piece):
+    for build in (gold.product_metrics, gold.category_trends, gold.verified_impact):
+        scan = next(line for line in plan(build(piece)) if line.startswith("FileScan"))
+        assert "review_text" not in scan and "review_id" not in scan
+        assert "PushedFilters: [IsNotNull(review_date)" in scan
+        partition_filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "category" in partition_filters and "year" in partition_filters
+
+
+def test_declining_needs_no_join(piece):
+    lines = plan(bi.declining(gold.product_metrics(piece)))
+    assert not any("Join" in line for line in lines)
+    # Aggregation, windows, final order: the second window reuses the first one's shuffle.
+    assert count(lines, "Exchange") == 3
+
+
+def test_copies_are_dropped_before_the_shuffle(spark):
+    rows = bronze_reviews(spark, {}).withColumn("review_id", F.col("asin"))
+    lines = plan(dedup_latest(rows, ["review_id"], newest_first(rows, ["review_id"])))
+    kinds = [line.split(" ")[0] for line in lines]
+    shuffle = kinds.index("Exchange")
+    assert kinds[:shuffle].count("WindowGroupLimit") == 1
+    assert kinds[shuffle:].count("WindowGroupLimit") == 1
+
+
+def test_small_metadata_is_broadcast_and_reviews_are_shuffled_once(spark):
+    lines = plan(build_silver(bronze_reviews(spark, {}), bronze_metadata(spark, {}), True))
+    assert count(lines, "SortMergeJoin") == 0
+    # One shuffle for the reviews' deduplication, one for the metadata's.
+    assert count(lines, "Exchange") == 2
+
+
+def test_large_metadata_is_joined_with_salt(spark, piece):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan(build_silver(bronze_reviews(spark, {}), bronze_metadata(spark, {})))
+        bundle = plan(review_bundle(piece, piece))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    join = next(line for line in lines if line.startswith("SortMergeJoin"))
+    assert "_salt" in join
+    assert any(line.startswith("SortMergeJoin") and "_salt" in line for line in bundle)
+    # Excerpts are made below the shuffles.
+    assert not any(line.startswith("Exchange") and "review_text" in line for line in bundle)
+
+
+def test_nothing_is_a_cross_join(piece, spark):
+    frames = [bi.overview(gold.category_trends(piece), gold.product_metrics(piece),
+                          gold.verified_impact(piece)),
+              bi.top_value(gold.product_metrics(piece)), review_bundle(piece, piece)]
+    for df in frames:
+        assert not any(k in line for line in plan(df)
+                       for k in ("CartesianProduct", "BroadcastNestedLoopJoin"))
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default),
+                            sparkContext=SimpleNamespace(master="yarn", applicationId="a"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.scratch_path(unset, "x")
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: "hdfs://shared/"))
+    assert storage.scratch_path(named, "x").startswith("hdfs://shared/ratings_engine/x-")
