@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratings_engine.llm import mixing, rules, secrets, warc
+from ratings_engine.llm import mixing, ngramjoin, rules, secrets, warc
 
 QUERIES = {}
 
@@ -32,6 +32,11 @@ def op6_secret_scan(spark, sf_dir):
                         secrets.listed(F.col("_spans")).alias("spans"))
 
 
+@query
+def op8_ngram_jaccard(spark, sf_dir):
+    return ngramjoin.link(_table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 @query
 def op9_mix_sources(spark, sf_dir):
     return (mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
