@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratings_engine.llm import mixing, ngramjoin, rules, secrets, warc
+from ratings_engine.llm import mixing, ngramjoin, quality, rules, secrets, warc
 
 QUERIES = {}
 
@@ -18,6 +18,20 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(folds):
+    """crc32 of the id's text, modulo folds."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+@query
+def op2_quality_classifier(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(_fold(4) != 2)
+    scored = quality.score(docs, quality.fit(docs, labels)).drop("text")
+    return scored.select("doc_id", (_fold(4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
 @query
 def op4_adaptive_rules(spark, sf_dir):
     return rules.judge(_table(spark, sf_dir, "documents"))
