@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratings_engine.llm import mixing, ngramjoin, quality, rules, secrets, warc
+from ratings_engine.llm import lm, mixing, ngramjoin, quality, rules, secrets, warc
 
 QUERIES = {}
 
@@ -37,6 +37,14 @@ def op4_adaptive_rules(spark, sf_dir):
     return rules.judge(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_deleted_interpolation(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (lm.score(docs, _fold(5) != 1)
+            .select("doc_id", (_fold(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                    "base_score", "score"))
+
+
 @query
 def op6_secret_scan(spark, sf_dir):
     found = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
