@@ -40,10 +40,10 @@ def _sketch(docs: DataFrame, text: str, n: int) -> np.ndarray:
     def count(batches):
         counts = np.zeros(SKETCH, np.uint32)
         for batch in batches:
-            sets = list(shingle_sets(batch.column(0), n))
-            if sets:
-                counts += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64),
-                                      minlength=SKETCH).astype(np.uint32)
+            for found in shingle_sets(batch.column(0), n):
+                # A set holds a shingle once, but two of its shingles may share a counter.
+                places, times = np.unique(found & np.uint64(SKETCH - 1), return_counts=True)
+                counts[places.astype(np.int64)] += times.astype(np.uint32)
         yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(counts.tobytes(), 1)]})
 
     def add(left: bytes, right: bytes) -> bytes:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratings_engine.llm.text import mix, raw, word_bounds, word_hashes
+from ratings_engine.llm.text import mix, pieces, raw, word_bounds, word_hashes
 
 DIMENSIONS = 1 << 18
 ORDERS = (1, 2, 3)
@@ -80,13 +80,14 @@ class Indicators:
 
 def indicators(texts: pa.Array):
     """The distinct feature places of each text."""
-    data, offsets = raw(texts)
-    starts, ends, owner = word_bounds(data, offsets)
-    hashes = mix(word_hashes(data, starts, ends))
-    cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
     places = Indicators()
-    for i in range(len(texts)):
-        yield places.of(data[offsets[i]:offsets[i + 1]], hashes[cuts[i]:cuts[i + 1]])
+    for piece in pieces(texts):
+        data, offsets = raw(piece)
+        starts, ends, owner = word_bounds(data, offsets)
+        hashes = mix(word_hashes(data, starts, ends))
+        cuts = np.searchsorted(owner, np.arange(len(piece) + 1))
+        for i in range(len(piece)):
+            yield places.of(data[offsets[i]:offsets[i + 1]], hashes[cuts[i]:cuts[i + 1]])
 
 
 def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratings_engine.llm import lm, mixing, ngramjoin, quality, rules, secrets, warc
+from ratings_engine.llm import langid, lm, mixing, ngramjoin, quality, rules, secrets, warc
 
 QUERIES = {}
 
@@ -32,6 +32,14 @@ def op2_quality_classifier(spark, sf_dir):
                          (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
 
 
+@query
+def op3_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(_fold(5) != 0))
+    return (langid.predict(docs.select("doc_id", "text"), model)
+            .select("doc_id", (_fold(5) == 0).alias("held_out"), "lang_pred", "score"))
+
+
 @query
 def op4_adaptive_rules(spark, sf_dir):
     return rules.judge(_table(spark, sf_dir, "documents"))

@@ -38,6 +38,16 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def pieces(texts: pa.Array, limit: int = 4 * SLICE):
+    """The column in runs of texts of about limit bytes, so that arrays over words stay small."""
+    _, offsets = raw(texts)
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        yield texts.slice(first, last - first)
+        first = last
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, text number) of all words."""
     solid = _SOLID[data]
@@ -99,6 +109,11 @@ def ngrams(hashes: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np
 def shingle_sets(texts: pa.Array, n: int):
     """The sorted distinct n-word shingles of each text; of shorter texts the whole sequence of words
     as one, of texts without words none."""
+    for piece in pieces(texts):
+        yield from _shingle_sets(piece, n)
+
+
+def _shingle_sets(texts: pa.Array, n: int):
     data, offsets = raw(texts)
     starts, ends, text = word_bounds(data, offsets)
     hashes = word_hashes(data, starts, ends)
