@@ -71,20 +71,20 @@ def _features(docs: DataFrame, text: str, doc_id: str, n: int, percent: int) ->
             for found in shingle_sets(batch.column(1), n):
                 size = len(found)
                 order = np.lexsort((found, counts.value[(found & np.uint64(SKETCH - 1)).astype(np.int64)]))
-                prefix = np.sort(found[order[:size - least_overlap(size, percent) + 1]]) if size else found
-                packed = prefix.tobytes()
+                prefix = found[order[:size - least_overlap(size, percent) + 1]] if size else found
+                packed = prefix.tobytes() + size.to_bytes(8, "little")
                 rows["n_shingles"].append(size)
                 rows["class"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                rows["group"].append(hashlib.blake2b(packed + size.to_bytes(8, "little"), digest_size=16).digest())
+                rows["group"].append(int.from_bytes(hashlib.blake2b(packed, digest_size=8).digest(), "little", signed=True))
                 rows["prefix"].append(prefix.astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(rows["n_shingles"], pa.int64()),
-                 pa.array(rows["class"], pa.binary()), pa.array(rows["group"], pa.binary()),
+                 pa.array(rows["class"], pa.binary()), pa.array(rows["group"], pa.int64()),
                  pa.array(rows["prefix"], pa.list_(pa.int64()))],
                 ["doc_id", "n_shingles", "class", "group", "prefix"])
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text).mapInArrow(
-        features, "doc_id bigint, n_shingles bigint, class binary, group binary, prefix array<bigint>")
+        features, "doc_id bigint, n_shingles bigint, class binary, group bigint, prefix array<bigint>")
 
 
 def _sets(docs: DataFrame, text: str, doc_id: str, n: int, wanted: DataFrame) -> DataFrame:
@@ -158,32 +158,39 @@ def _forest(percent: int):
 
 def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classes: DataFrame) -> DataFrame:
     """(a, b): links between classes that connect everything that links connect."""
-    groups = classes.groupBy("group", "n_shingles", "prefix").agg(F.count("*").alias("members"))
-    postings = groups.select("group", "n_shingles", "members", F.explode("prefix").alias("shingle"))
+    # Groups with one hash by accident would only be verified together.
+    groups = classes.groupBy("group").agg(F.count("*").cast("int").alias("members"),
+                                          F.first("n_shingles").cast("int").alias("n"), F.first("prefix").alias("prefix"))
+    postings = groups.select("group", "n", "members", F.posexplode("prefix").alias("place", "shingle"))
     weight = postings.groupBy("shingle").agg(F.sum("members").alias("weight")).where("weight > 1")
     postings = staged(postings.join(weight, "shingle"), "postings")
-    member = classes.select("group", "class", "id", F.col("n_shingles").alias("n"))
-    live = postings.select("group").distinct()
-    sets = staged(_sets(docs, text, doc_id, n, member.join(live, "group", "left_semi")), "sets")
+    member = classes.select("group", "class", "id")
 
     few = postings.where(F.col("weight") <= FEW)
     x, y = few.alias("x"), few.alias("y")
+    # The first shingle two sets have in common, in order of rarity, leaves room for at most as many
+    # common ones as follow it in either; links need least so many.
+    needed = percent * (F.col("x.n") + F.col("y.n"))
+    room = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     pairs = (x.join(y, F.col("x.shingle") == F.col("y.shingle"))
-             .where((F.struct("x.n_shingles", "x.group") <= F.struct("y.n_shingles", "y.group"))
-                    & (100 * F.col("x.n_shingles") >= percent * F.col("y.n_shingles"))
+             .where((F.struct("x.n", "x.group") <= F.struct("y.n", "y.group"))
+                    & (100 * F.col("x.n") >= percent * F.col("y.n")) & ((100 + percent) * room >= needed)
                     & ((F.col("x.group") != F.col("y.group")) | (F.col("x.members") > 1)))
              .select(F.col("x.group").alias("g"), F.col("y.group").alias("h")).distinct())
-    pairs = (pairs.join(member.select(F.col("group").alias("g"), F.col("class").alias("a")), "g")
-             .join(member.select(F.col("group").alias("h"), F.col("class").alias("b")), "h")
-             .where((F.col("g") != F.col("h")) | (F.col("a") < F.col("b"))).select("a", "b"))
+    pairs = staged(pairs.join(member.select(F.col("group").alias("g"), F.col("class").alias("a"), F.col("id").alias("i")), "g")
+                   .join(member.select(F.col("group").alias("h"), F.col("class").alias("b"), F.col("id").alias("j")), "h")
+                   .where((F.col("g") != F.col("h")) | (F.col("a") < F.col("b"))).select("a", "i", "b", "j"), "pairs")
+    many = staged(postings.where(F.col("weight") > FEW).select("shingle", "group", "weight").join(member, "group"), "many")
+    wanted = (pairs.select(F.col("a").alias("class"), F.col("i").alias("id"))
+              .unionAll(pairs.select("b", "j")).unionAll(many.select("class", "id")).distinct())
+    sets = staged(_sets(docs, text, doc_id, n, wanted), "sets")
     named = lambda c: sets.select(F.col("class").alias(c), F.col("set").alias(f"set_{c}"))
     common = F.size(F.array_intersect("set_a", "set_b"))
     alike = 100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)
-    linked = pairs.join(named("a"), "a").join(named("b"), "b").where(alike).select("a", "b")
+    linked = pairs.select("a", "b").join(named("a"), "a").join(named("b"), "b").where(alike).select("a", "b")
 
     # Blocks of a shingle's classes hold equal numbers by hash; a unit is a pair of blocks.
-    many = (postings.where(F.col("weight") > FEW).select("shingle", "group", "weight").join(member, "group")
-            .withColumn("blocks", F.ceil(F.col("weight") / BLOCK).cast("int"))
+    many = (many.withColumn("blocks", F.ceil(F.col("weight") / BLOCK).cast("int"))
             .withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int")))
     units = many.select("shingle", "class", F.explode(F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
