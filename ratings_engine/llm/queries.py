@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratings_engine.llm import langid, lm, mixing, ngramjoin, quality, rules, secrets, warc
+from ratings_engine.llm import decontaminate, langid, lm, mixing, ngramjoin, quality, rules, secrets, warc
 
 QUERIES = {}
 
@@ -23,6 +23,11 @@ def _fold(folds):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
+@query
+def op1_latent_decontamination(spark, sf_dir):
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op2_quality_classifier(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -18,6 +18,8 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 _SOLID = np.ones(256, bool)
 _SOLID[[32, *range(9, 14)]] = False
+#: ASCII letters and digits and everything beyond ASCII: words without punctuation.
+LETTERS = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,9 +50,10 @@ def pieces(texts: pa.Array, limit: int = 4 * SLICE):
         first = last
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, text number) of all words."""
-    solid = _SOLID[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray,
+                solid: np.ndarray = _SOLID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, text number) of all runs of bytes marked in solid."""
+    solid = solid[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before, after = edge[:-1].copy(), edge[1:].copy()
