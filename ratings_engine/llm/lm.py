@@ -18,14 +18,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratings_engine.llm.text import mix, raw, word_bounds, word_hashes
+from ratings_engine.llm.text import mix, pieces, raw, word_bounds, word_hashes
 
 ORDER = 3
 #: Documents of a block, and n-grams that a range holds of one block on average.
-BLOCK_ROWS = 4000
+BLOCK_ROWS = 2000
 RANGES_PER_BLOCK = 1.5
 #: n-grams of two words and more are known by so many bits, words by all 64.
 GRAM_BITS = 48
@@ -75,16 +76,6 @@ def grams(words: np.ndarray, text: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
-def contexts(words: np.ndarray, text: np.ndarray, order: int) -> list[np.ndarray]:
-    """The n-gram before each token, for n = 1..order-1: what grams() gave the token before it."""
-    place = np.arange(len(words)) - np.searchsorted(text, text)
-    before = []
-    for gram in grams(words, text, order - 1) if order > 1 else []:
-        shifted = np.concatenate([[START], gram[:-1]])
-        before.append(np.where(place > 0, shifted, START))
-    return before
-
-
 def _pack(values: np.ndarray) -> bytes:
     """Whole numbers as byte planes, low first, as many as the largest needs."""
     width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
@@ -100,38 +91,75 @@ def _unpack(packed: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _counts(words: np.ndarray, text: np.ndarray, training: np.ndarray, order: int):
-    """(sorted distinct keys, training counts) of the n-grams and contexts of some texts."""
-    keys = grams(words, text, order)
-    learn = training[text]
-    starts = np.full(int(training.sum()), START)
-    every = np.concatenate([*keys, [START]])
-    distinct, inverse = np.unique(every, return_inverse=True)
-    counts = np.zeros(len(distinct), np.int64)
-    for n, _ in enumerate(keys):
-        part = inverse[n * len(words):(n + 1) * len(words)]
-        counts += np.bincount(part[learn], minlength=len(distinct))
-    counts[inverse[-1]] += len(starts)
-    return distinct, counts
+class Keyed:
+    """The n-grams of some texts as places in one sorted array of distinct keys.
+
+    at[n] holds the place of the n+1-gram that ends at each token, before[n] that of the n+1-gram that
+    ends at the token before it (at a text's begin, of the start mark)."""
+
+    def __init__(self, texts: pa.Array, order: int):
+        words, self.text = tokens(texts)
+        parts = [np.unique(g, return_inverse=True) for g in grams(words, self.text, order)]
+        self.keys, where = np.unique(np.concatenate([*(p[0] for p in parts), [START]]), return_inverse=True)
+        self.start, cuts = where[-1], np.cumsum([0] + [len(p[0]) for p in parts])
+        self.at = [where[low:high][inverse].astype(np.int32) for low, high, (_, inverse) in zip(cuts, cuts[1:], parts)]
+        first = np.ones(len(words), bool)
+        first[1:] = self.text[1:] != self.text[:-1]
+        self.before = [np.where(first, self.start, np.roll(at, 1)) for at in self.at[:-1]]
 
+    def counts(self, training: np.ndarray) -> np.ndarray:
+        """How often each key occurs in the texts to learn from."""
+        learn = training[self.text]
+        counts = sum(np.bincount(at[learn], minlength=len(self.keys)) for at in self.at)
+        counts[self.start] += int(training.sum())
+        return counts
 
-def _blocked(docs: DataFrame, text: str, carried: list[str], training: Column, rows: int) -> tuple[DataFrame, int]:
-    blocks = -(-max(docs.count(), 1) // rows)
-    # Runs of rows of the scan make up a block, whatever their values; the same rows when a task is
-    # run again, as a scan repeats its order.
-    run = F.shiftright(F.monotonically_increasing_id(), 6)
-    return docs.select(F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"),
-                       F.struct(*carried).alias("row"),
-                       F.pmod(F.xxhash64(run), F.lit(blocks)).alias("block")), blocks
+
+def _blocked(docs: DataFrame, text: str, carried: list[str], training: Column, rows: int) -> tuple[DataFrame, object]:
+    """(block, packed): runs of rows of each task as compressed Arrow data, and the type of a row.
+
+    A block is named by task and run, so a task that runs again on a scan makes the same blocks."""
+    narrow = docs.select(F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"),
+                         F.struct(F.lit(0).alias("no column"), *carried).alias("row"))
+
+    def pack(batches):
+        task, number, waiting = TaskContext.get().partitionId(), 0, []
+
+        def block():
+            nonlocal number, waiting
+            table = pa.Table.from_batches(waiting)
+            number, waiting = number + 1, []
+            return pa.RecordBatch.from_pydict({"block": [task << 32 | number], "packed": [_to_bytes(table)]})
+
+        for batch in batches:
+            for low in range(0, len(batch), rows):
+                waiting.append(batch.slice(low, rows))
+                if sum(map(len, waiting)) >= rows:
+                    yield block()
+        if waiting:
+            yield block()
+
+    return narrow.mapInArrow(pack, "block bigint, packed binary"), narrow.schema["row"]
+
+
+def _to_bytes(table: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def _from_bytes(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(packed).read_all()
 
 
 def _requests(blocked: DataFrame, ranges: int, order: int) -> DataFrame:
     width = (1 << 64) // ranges + 1
 
     def ask(table: pa.Table) -> pa.Table:
-        words, text = tokens(table.column("text").combine_chunks())
-        training = table.column("training").to_numpy()
-        keys, counts = _counts(words, text, training, order)
+        rows = _from_bytes(table.column("packed")[0].as_py())
+        block = Keyed(rows.column("text").combine_chunks(), order)
+        keys, counts = block.keys, block.counts(rows.column("training").to_numpy())
         part = (keys // np.uint64(width)).astype(np.int64)
         cuts = np.searchsorted(part, np.arange(ranges + 1))
         rows = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
@@ -163,18 +191,15 @@ def _answers(requests: DataFrame, ranges: int) -> DataFrame:
     return requests.groupBy("part").applyInArrow(add, "block bigint, part bigint, totals binary")
 
 
-def _probabilities(count, words: np.ndarray, text: np.ndarray, order: int, totals: Totals):
-    """(bucket, probabilities by order from 0) of each token; count gives the count of keys."""
-    by_order = [np.full(len(words), 1 / (totals.vocabulary + 1)),
-                count(words) / max(totals.tokens, 1)]
-    before, seen = contexts(words, text, order), None
-    for gram, context in zip(grams(words, text, order)[1:], before):
-        seen = count(context)
-        by_order.append(np.where(seen > 0, count(gram) / np.maximum(seen, 1), 0.0))
+def _probabilities(block: Keyed, counts: np.ndarray, totals: Totals):
+    """(bucket, probabilities by order from 0) of each token, given the corpus counts of the keys."""
+    size = len(block.text)
+    by_order = [np.full(size, 1 / (totals.vocabulary + 1)), counts[block.at[0]] / max(totals.tokens, 1)]
     # The longest context that was seen decides: its length and how often it was seen.
-    bucket = np.zeros(len(words), np.int64)
-    for n, context in enumerate(before):
-        seen = count(context)
+    bucket = np.zeros(size, np.int64)
+    for n, (gram, context) in enumerate(zip(block.at[1:], block.before, strict=True)):
+        seen = counts[context]
+        by_order.append(np.where(seen > 0, counts[gram] / np.maximum(seen, 1), 0.0))
         level = np.minimum(np.log2(np.maximum(seen, 1)).astype(np.int64) // 2, BUCKETS - 1)
         bucket = np.where(seen > 0, 1 + n * BUCKETS + level, bucket)
     return bucket, np.stack(by_order, 1)
@@ -203,10 +228,10 @@ def fit_weights(docs: DataFrame, text: str, training: Column, totals: Totals, or
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         (F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(share)) == 0).alias("aside"))
     sample = rows.where("aside").select("text").toArrow().column("text").combine_chunks()
-    words, text_ = tokens(sample)
-    if not len(words):
+    if not len(sample):
         return learn_weights(np.zeros(0, np.int64), np.ones((0, order + 1)), order)
-    wanted = np.unique(np.concatenate([*grams(words, text_, order), [START]]))
+    block = Keyed(sample, order)
+    wanted = block.keys
     # Every key has its bit in a small table, which spares most searches.
     bits = np.zeros(1 << 24, bool)
     bits[(wanted >> np.uint64(40)).astype(np.int64)] = True
@@ -219,11 +244,11 @@ def fit_weights(docs: DataFrame, text: str, training: Column, totals: Totals, or
             texts = batch.column(0).filter(pa.compute.invert(batch.column(1)))
             if not len(texts):
                 continue
-            w, t = tokens(texts)
-            for gram in grams(w, t, order):
-                gram = gram[bit[(gram >> np.uint64(40)).astype(np.int64)]]
-                at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
-                counts += np.bincount(at[keys[at] == gram], minlength=len(keys))
+            for piece in pieces(texts):
+                for gram in grams(*tokens(piece), order):
+                    gram = gram[bit[(gram >> np.uint64(40)).astype(np.int64)]]
+                    at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
+                    np.add.at(counts, at[keys[at] == gram], 1)
             counts[np.searchsorted(keys, START)] += len(texts)
         yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(counts.astype("<i8").tobytes(), 1)]})
 
@@ -235,10 +260,7 @@ def fit_weights(docs: DataFrame, text: str, training: Column, totals: Totals, or
     summed = rows.mapInArrow(count, "counts binary").rdd.map(lambda row: bytes(row[0])).treeAggregate(none, add, add, 3)
     counts = np.frombuffer(zlib.decompress(summed), "<i8")
 
-    def lookup(keys):
-        return counts[np.searchsorted(wanted, keys)].astype(np.float64)
-
-    bucket, probabilities = _probabilities(lookup, words, text_, order, totals)
+    bucket, probabilities = _probabilities(block, counts.astype(np.float64), totals)
     return learn_weights(bucket, probabilities, order)
 
 
@@ -247,8 +269,8 @@ def totals_of(docs: DataFrame, text: str, training: Column) -> Totals:
 
     def distinct(batches):
         for batch in batches:
-            words, _ = tokens(batch.column(0))
-            keys, counts = np.unique(words, return_counts=True)
+            keys, counts = np.unique(np.concatenate([tokens(p)[0] for p in pieces(batch.column(0))]
+                                                    or [np.zeros(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
 
     rows = docs.where(F.coalesce(training, F.lit(False))).select(text).mapInArrow(distinct, "key bigint, n bigint")
@@ -269,23 +291,20 @@ def score(docs: DataFrame, training: Column, text: str = "text", order: int = OR
     carried = [c for c in docs.columns if c not in (text, *names)]
     totals = totals_of(docs, text, training)
     weights = fit_weights(docs, text, training, totals, order)
-    blocked, blocks = _blocked(docs, text, carried, training, block_rows)
-    ranges = max(1, math.ceil(blocks * RANGES_PER_BLOCK))
+    blocked, row_type = _blocked(docs, text, carried, training, block_rows)
+    ranges = max(1, math.ceil(docs.count() / block_rows * RANGES_PER_BLOCK))
     answers = _answers(_requests(blocked, ranges, order), ranges)
 
-    def judge(texts: pa.Table, answered: pa.Table) -> pa.Table:
-        words, text_ = tokens(texts.column("text").combine_chunks())
-        keys, _ = _counts(words, text_, texts.column("training").to_numpy(), order)
+    def judge(packed: pa.Table, answered: pa.Table) -> pa.Table:
+        texts = _from_bytes(packed.column("packed")[0].as_py())
+        block = Keyed(texts.column("text").combine_chunks(), order)
+        text_ = block.text
         parts = sorted(zip(answered.column("part").to_pylist(), answered.column("totals").to_pylist(), strict=True))
         counts = np.concatenate([_unpack(zlib.decompress(x)) for _, x in parts]).astype(np.float64)
-
-        def lookup(wanted):
-            return counts[np.searchsorted(keys, wanted)]
-
         n = len(texts)
-        seen = lookup(words)
+        seen = counts[block.at[0]]
         base = np.log10((seen + 0.5) / (totals.tokens + 0.5 * (totals.vocabulary + 1)))
-        bucket, probabilities = _probabilities(lookup, words, text_, order, totals)
+        bucket, probabilities = _probabilities(block, counts, totals)
         mixed = np.log10((weights[bucket] * probabilities).sum(1))
         return pa.table({
             "row": texts.column("row"),
@@ -294,6 +313,6 @@ def score(docs: DataFrame, training: Column, text: str = "text", order: int = OR
             "train_tokens": pa.array(np.full(n, totals.tokens), pa.int64()),
             "base_score": np.bincount(text_, base, n), "score": np.bincount(text_, mixed, n)})
 
-    schema = StructType([blocked.schema["row"], *StructType.fromDDL(results).fields])
+    schema = StructType([row_type, *StructType.fromDDL(results).fields])
     return (blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, schema)
-            .select("row.*", *names))
+            .select("row.*", *names).drop("no column"))
