@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,3 +37,40 @@ def same(left: Column, right: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, everything else unchanged."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+#: How many arrays one task adds up.
+FAN_IN = 16
+
+
+def summed(rows: DataFrame, zero: np.ndarray, part: Callable) -> np.ndarray:
+    """Sum over all rows of an array of fixed size. part(total, column) adds an Arrow column to it.
+
+    Each task makes one array; tasks add up FAN_IN of them at a time until few are left for the driver."""
+
+    def packed(array):
+        return zlib.compress(array.tobytes(), 1)
+
+    def each(batches):
+        total = zero.copy()
+        for batch in batches:
+            part(total, batch.column(0))
+        yield pa.RecordBatch.from_pydict({"part": [packed(total)]})
+
+    def add(table):
+        total = zero.copy()
+        for array in table.column("part"):
+            total += np.frombuffer(zlib.decompress(array.as_py()), zero.dtype).reshape(zero.shape)
+        return pa.table({"part": pa.array([packed(total)], pa.binary())})
+
+    count = rows.rdd.getNumPartitions()
+    parts = rows.mapInArrow(each, "part binary").withColumn("slot", F.spark_partition_id())
+    while count > FAN_IN:
+        count = -(-count // FAN_IN)
+        parts = (parts.groupBy(F.pmod("slot", F.lit(count)).alias("slot"))
+                 .applyInArrow(lambda key, table: add(table).append_column("slot", pa.array([key[0].as_py()], pa.int32())),
+                               "part binary, slot int"))
+    total = zero.copy()
+    for row in parts.select("part").toLocalIterator():
+        total += np.frombuffer(zlib.decompress(bytes(row[0])), zero.dtype).reshape(zero.shape)
+    return total

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratings_engine.llm.common import summed
 from ratings_engine.llm.text import mix, pieces, raw, word_bounds, word_hashes
 
 ORDER = 3
@@ -231,35 +232,21 @@ def fit_weights(docs: DataFrame, text: str, training: Column, totals: Totals, or
     if not len(sample):
         return learn_weights(np.zeros(0, np.int64), np.ones((0, order + 1)), order)
     block = Keyed(sample, order)
-    wanted = block.keys
     # Every key has its bit in a small table, which spares most searches.
     bits = np.zeros(1 << 24, bool)
-    bits[(wanted >> np.uint64(40)).astype(np.int64)] = True
-    shared = docs.sparkSession.sparkContext.broadcast((wanted, bits))
+    bits[(block.keys >> np.uint64(40)).astype(np.int64)] = True
+    shared = docs.sparkSession.sparkContext.broadcast((block.keys, bits))
 
-    def count(batches):
+    def count(counts, column):
         keys, bit = shared.value
-        counts = np.zeros(len(keys), np.int64)
-        for batch in batches:
-            texts = batch.column(0).filter(pa.compute.invert(batch.column(1)))
-            if not len(texts):
-                continue
-            for piece in pieces(texts):
-                for gram in grams(*tokens(piece), order):
-                    gram = gram[bit[(gram >> np.uint64(40)).astype(np.int64)]]
-                    at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
-                    np.add.at(counts, at[keys[at] == gram], 1)
-            counts[np.searchsorted(keys, START)] += len(texts)
-        yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(counts.astype("<i8").tobytes(), 1)]})
-
-    def add(left: bytes, right: bytes) -> bytes:
-        both = (np.frombuffer(zlib.decompress(x), "<i8") for x in (left, right))
-        return zlib.compress(sum(both).tobytes(), 1)
-
-    none = zlib.compress(np.zeros(len(wanted), "<i8").tobytes(), 1)
-    summed = rows.mapInArrow(count, "counts binary").rdd.map(lambda row: bytes(row[0])).treeAggregate(none, add, add, 3)
-    counts = np.frombuffer(zlib.decompress(summed), "<i8")
-
+        for piece in pieces(column):
+            for gram in grams(*tokens(piece), order):
+                gram = gram[bit[(gram >> np.uint64(40)).astype(np.int64)]]
+                at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
+                np.add.at(counts, at[keys[at] == gram], 1)
+        counts[np.searchsorted(keys, START)] += len(column)
+
+    counts = summed(rows.where(~F.col("aside")).select("text"), np.zeros(len(block.keys), np.int64), count)
     bucket, probabilities = _probabilities(block, counts.astype(np.float64), totals)
     return learn_weights(bucket, probabilities, order)
 
@@ -292,7 +279,7 @@ def score(docs: DataFrame, training: Column, text: str = "text", order: int = OR
     totals = totals_of(docs, text, training)
     weights = fit_weights(docs, text, training, totals, order)
     blocked, row_type = _blocked(docs, text, carried, training, block_rows)
-    ranges = max(1, math.ceil(docs.count() / block_rows * RANGES_PER_BLOCK))
+    ranges = max(2, math.ceil(docs.count() / block_rows * RANGES_PER_BLOCK))
     answers = _answers(_requests(blocked, ranges, order), ranges)
 
     def judge(packed: pa.Table, answered: pa.Table) -> pa.Table:

@@ -14,14 +14,13 @@ which returns a spanning forest of the links it found instead of pairs.
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratings_engine.llm.common import staged
+from ratings_engine.llm.common import staged, summed
 from ratings_engine.llm.components import connected
 from ratings_engine.llm.text import mix, shingle_sets
 
@@ -35,26 +34,15 @@ FILTER_BITS = 1 << 24
 
 
 def _sketch(docs: DataFrame, text: str, n: int) -> np.ndarray:
-    """Document counts of shingles by hash, summed over tasks in a tree; bounded by SKETCH."""
+    """Document counts of shingles by hash; bounded by SKETCH."""
 
-    def count(batches):
-        counts = np.zeros(SKETCH, np.uint32)
-        for batch in batches:
-            for found in shingle_sets(batch.column(0), n):
-                # A set holds a shingle once, but two of its shingles may share a counter.
-                places, times = np.unique(found & np.uint64(SKETCH - 1), return_counts=True)
-                counts[places.astype(np.int64)] += times.astype(np.uint32)
-        yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(counts.tobytes(), 1)]})
-
-    def add(left: bytes, right: bytes) -> bytes:
-        total = sum(np.frombuffer(zlib.decompress(x), np.uint32).astype(np.uint64) for x in (left, right))
-        return zlib.compress(np.minimum(total, 2 ** 32 - 1).astype(np.uint32).tobytes(), 1)
-
-    parts = docs.select(text).mapInArrow(count, "counts binary").rdd.map(lambda row: bytes(row[0]))
-    if parts.getNumPartitions() == 0:
-        return np.zeros(SKETCH, np.uint32)
-    empty = zlib.compress(np.zeros(SKETCH, np.uint32).tobytes(), 1)
-    return np.frombuffer(zlib.decompress(parts.treeAggregate(empty, add, add, 3)), np.uint32)
+    def count(counts, column):
+        for found in shingle_sets(column, n):
+            # A set holds a shingle once, but two of its shingles may share a counter.
+            places, times = np.unique(found & np.uint64(SKETCH - 1), return_counts=True)
+            counts[places.astype(np.int64)] += times.astype(np.uint32)
+
+    return summed(docs.select(text), np.zeros(SKETCH, np.uint32), count)
 
 
 def least_overlap(size, percent: int):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratings_engine.llm import decontaminate, langid, lm, mixing, ngramjoin, quality, rules, secrets, warc
+from ratings_engine.llm import decontaminate, langid, lm, mixing, ngramjoin, quality, rules, secrets, suffix, warc
 
 QUERIES = {}
 
@@ -67,6 +67,11 @@ def op6_secret_scan(spark, sf_dir):
                         secrets.listed(F.col("_spans")).alias("spans"))
 
 
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query
 def op8_ngram_jaccard(spark, sf_dir):
     return ngramjoin.link(_table(spark, sf_dir, "documents"), n=3, percent=90)

@@ -40,7 +40,7 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def pieces(texts: pa.Array, limit: int = 4 * SLICE):
+def pieces(texts: pa.Array, limit: int = SLICE):
     """The column in runs of texts of about limit bytes, so that arrays over words stay small."""
     _, offsets = raw(texts)
     first = 0
