@@ -67,7 +67,7 @@ def summed(rows: DataFrame, zero: np.ndarray, part: Callable) -> np.ndarray:
     parts = rows.mapInArrow(each, "part binary").withColumn("slot", F.spark_partition_id())
     while count > FAN_IN:
         count = -(-count // FAN_IN)
-        parts = (parts.groupBy(F.pmod("slot", F.lit(count)).alias("slot"))
+        parts = (parts.withColumn("slot", F.pmod("slot", F.lit(count))).groupBy("slot")
                  .applyInArrow(lambda key, table: add(table).append_column("slot", pa.array([key[0].as_py()], pa.int32())),
                                "part binary, slot int"))
     total = zero.copy()

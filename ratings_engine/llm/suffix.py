@@ -156,11 +156,16 @@ def _symbols(runs: DataFrame, length: int) -> DataFrame:
     return runs.select("base", "bytes").mapInArrow(spread, "pos bigint, sym bigint, hash bigint")
 
 
+def _div(value: Column, by: int) -> Column:
+    """Whole-number division; positions exceed what a double holds."""
+    return F.call_function("div", value, F.lit(by))
+
+
 def _behind(rows: DataFrame, columns: dict[str, tuple[str, int]]) -> DataFrame:
     """Add values of the rows one or two positions further (0 where there is none): new name -> (column, steps).
 
     Runs of positions share a task; their first two rows are sent to the run before as well."""
-    run = F.floor(F.col("pos") / RUN)
+    run = _div(F.col("pos"), RUN)
     near = Window.partitionBy("run").orderBy("pos")
     at = lambda c, k: F.coalesce(F.when(F.lead("pos", k).over(near) == F.col("pos") + k, F.lead(c, k).over(near)),
                                  F.when(F.lead("pos", 1).over(near) == F.col("pos") + k, F.lead(c, 1).over(near)), F.lit(0))
@@ -226,7 +231,7 @@ def suffix_ranks(symbols: DataFrame, depth: int = LENGTH, covered: int = 1, smal
     if sampled.where("times > 1").isEmpty():
         ranks = sampled.select("pos", F.col("name").alias("rank"))
     else:
-        shorter = sampled.select((F.floor(F.col("pos") / 3) + F.when(F.col("pos") % 3 == 2, far).otherwise(0)).alias("pos"),
+        shorter = sampled.select((_div(F.col("pos"), 3) + F.when(F.col("pos") % 3 == 2, far).otherwise(0)).alias("pos"),
                                  F.col("name").alias("sym"))
         ranks = staged(suffix_ranks(shorter, depth, 3 * covered, small).select(
             F.when(F.col("pos") < far, 3 * F.col("pos") + 1).otherwise(3 * (F.col("pos") - far) + 2).alias("pos"),
@@ -294,10 +299,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     # Runs of consecutive starts, then the bytes they cover.
     step = 1 << 12
-    spans = (starts.groupBy(F.floor(F.col("pos") / step).alias("cell"))
+    spans = (starts.groupBy(_div(F.col("pos"), step).alias("cell"))
              .agg(F.array_sort(F.collect_list("pos")).alias("at")))
     placed = runs.select("digest", "start", "base", (F.col("base") + F.length("bytes")).alias("limit"), F.explode(
-        F.sequence(F.floor(F.col("base") / step), F.floor((F.col("base") + F.length("bytes")) / step))).alias("cell"))
+        F.sequence(_div(F.col("base"), step), _div(F.col("base") + F.length("bytes"), step))).alias("cell"))
     found = (placed.join(spans, "cell")
              .select("digest", F.transform(
                  F.filter("at", lambda p: (p >= F.col("base")) & (p < F.col("limit"))),
