@@ -19,8 +19,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder every executor can reach")
-        shared = _local_scratch.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="ratings-engine-"))
+        if context.applicationId not in _local_scratch:
+            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="ratings-engine-")
+        shared = _local_scratch[context.applicationId]
     return f"{shared.rstrip('/')}/ratings_engine/{label}-{uuid.uuid4().hex}"
 
 
@@ -60,3 +61,51 @@ def size_bytes(spark: SparkSession, path: str) -> int:
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _filesystem(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, making the target's folder."""
+    fs, from_path = _filesystem(spark, source)
+    to_path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to_path.getParent())
+    if not fs.rename(from_path, to_path):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files below a folder, relative to it, without marker and hidden files."""
+    fs, hadoop_path = _filesystem(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    root = fs.makeQualified(hadoop_path).toString().rstrip("/")
+    listed, names = fs.listFiles(hadoop_path, True), []
+    while listed.hasNext():
+        name = listed.next().getPath().toString()[len(root) + 1:]
+        if name.rsplit("/", 1)[-1][:1] not in ("_", "."):
+            names.append(name)
+    return names
+
+
+def subfolders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    fs, hadoop_path = _filesystem(spark, path)
+    return [status.getPath().toString() for status in fs.listStatus(hadoop_path)
+            if status.isDirectory() and status.getPath().getName().startswith(prefix)]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Store a small text: written under another name first, so it is there whole or not at all."""
+    fs, hadoop_path = _filesystem(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(draft, hadoop_path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _filesystem(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

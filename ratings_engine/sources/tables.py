@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ratings_engine.functions.columns import date_between
 from ratings_engine.schemas import DATE_BUCKETS, Table
@@ -56,6 +57,15 @@ def open_table(spark: SparkSession, path: str, table: Table) -> DataFrame:
     return spark.read.schema(table.stored_schema).parquet(path)
 
 
+def open_evolved(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """The table under its declared columns and all others that its files have; looks into every
+    file, so meant for tables that are known to have grown columns."""
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    declared = table.stored_schema
+    further = [StructField(f.name, f.dataType, True) for f in found if f.name not in declared.names]
+    return spark.read.schema(StructType([*declared.fields, *further])).parquet(path)
+
+
 def read_slice(spark: SparkSession, path: str, table: Table, category: str | None = None,
                start=None, end=None, ingestion_date=None) -> DataFrame:
     """The declared columns for a category, a range of review dates and/or a batch.
