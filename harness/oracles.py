@@ -185,8 +185,7 @@ def _lag(where: str) -> str:
       from (select *, lag(rolling_30d_avg_rating) over (
                         partition by parent_asin, category order by review_date)
                       as previous_rolling_avg from pm where {where}))
-    where rating_decline > 0
-    order by rating_decline desc, parent_asin, category, review_date limit 100"""
+    where rating_decline > 0"""
 
 
 _LABEL = ("case when verified_purchase then 'Verified' when not verified_purchase "
@@ -355,8 +354,12 @@ ORACLES = {
                max(total_reviews) filter ({_period(7, 1)})
                - coalesce(max(total_reviews) filter (review_date < date '1999-06-15' - 7), 0)
                  as reviews_in_period
-        from pm group by parent_asin, category having max(total_reviews) filter ({_period(7, 1)}) > 0
-        order by reviews_in_period desc, parent_asin, category limit 100"""),
+        from pm group by parent_asin, category having max(total_reviews) filter ({_period(7, 1)}) > 0"""),
+    "bi_q_verified_last_week": _sql(VI, f"""
+        select category, {_LABEL}, cast(sum(daily_review_count) as bigint) as review_count,
+               round(sum(daily_review_count * avg_rating) / sum(daily_review_count), 6) as avg_rating
+        from vi where verified_purchase is not null and {_period(7, 1)}
+        group by category, verified_purchase"""),
     "bi_review_bundle": _sql(("""texts as (
           select source as parent_asin, lang as category, cast(doc_id as varchar) as review_id,
                  doc_id as review_timestamp, cast(1 + n_chars % 5 as double) as rating,

@@ -11,7 +11,6 @@ from ratings_engine import schemas
 from ratings_engine.operators import audit, bi, gold, quality, upsert
 from ratings_engine.operators import silver as sv
 from ratings_engine.operators.bundle import review_bundle
-from ratings_engine.operators.skew import heavy_keys
 from ratings_engine.plans import medallion, sqlsurface
 from ratings_engine.sources import legacy, raw, storage, tables
 
@@ -197,9 +196,8 @@ def silver_price_parse(spark, sf_dir):
 def silver_enrich(spark, sf_dir):
     keyed = sv.with_review_id(b.reviews(spark, sf_dir))
     unique = sv.dedup_latest(keyed, ["review_id"], sv.newest_first(keyed, ["review_id"]))
-    heavy = heavy_keys(keyed.select(*sv.PRODUCT_KEY), sv.PRODUCT_KEY, min_rows=40)
     products = sv.prepare_metadata(b.metadata(spark, sf_dir))
-    return sv.enrich(unique, products, heavy).select(
+    return sv.enrich(unique, products).select(
         "review_id", "parent_asin", "category", "product_title", "main_category",
         "product_avg_rating", "price")
 
@@ -346,7 +344,8 @@ def gold_incremental_lookback(spark, sf_dir):
     root = _scratch(spark)
     upsert.upsert_table(spark, b.silver(spark, sf_dir), medallion.silver_path(root),
                         schemas.SILVER_TABLE)
-    medallion.run_gold(spark, root, category="ECONOMY", ingestion_date="2026-01-04")
+    medallion.run_gold(spark, root, category="ECONOMY", ingestion_date="2026-01-04",
+                       history="lookback")
     table = schemas.VERIFIED_IMPACT_TABLE
     return tables.read_slice(spark, medallion.gold_path(root, table), table)
 
@@ -467,6 +466,12 @@ def bi_q_verified_on_date(spark, sf_dir):
     return bi.verified_on_date(b.verified_impact(spark, sf_dir), ANCHOR)
 
 
+@query
+def bi_q_verified_last_week(spark, sf_dir):
+    period = sqlsurface.relative_bounds("last 7 days", ANCHOR)
+    return _rounded(bi.verified_in_period(b.verified_impact(spark, sf_dir), *period), "avg_rating")
+
+
 @query
 def bi_q_most_reviewed(spark, sf_dir):
     period = sqlsurface.relative_bounds("last 7 days", ANCHOR)

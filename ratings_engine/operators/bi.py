@@ -22,7 +22,6 @@ DECLINE_POINTS = 0.5
 VALUE_PRODUCTS = 50
 TOP_VALUE_PRODUCTS = 5
 TOP_PRODUCTS = 10
-REPORT_ROWS = 100
 # End of fixed values.
 
 
@@ -159,15 +158,26 @@ def top_products(metrics: DataFrame, n: int | None = TOP_PRODUCTS) -> DataFrame:
                          "average_rating", ROLLING, "avg_price").orderBy("category", *order)
 
 
-def lag_decline(metrics: DataFrame, n: int = REPORT_ROWS) -> DataFrame:
-    """Rows whose rolling average fell against the product's previous row, steepest first."""
+def lag_decline(metrics: DataFrame, category: str | None = None, days: int | None = None,
+                n: int | None = None, today=None) -> DataFrame:
+    """Rows whose rolling average fell against the product's previous row, steepest first: all of
+    them, or the n steepest per category. category and days (back from today, by default the
+    session's date) narrow the rows before they are compared."""
+    if category is not None:
+        metrics = metrics.where(F.col("category") == category)
+    if days is not None:
+        day = F.current_date() if today is None else F.lit(str(today)).cast("date")
+        metrics = metrics.where(F.col("review_date") >= F.date_sub(day, days))
     timeline = Window.partitionBy("parent_asin", "category").orderBy("review_date")
     previous = F.lag(ROLLING).over(timeline)
-    return (metrics.select("parent_asin", "category", "review_date", ROLLING,
-                           previous.alias("previous_rolling_avg"))
-            .withColumn("rating_decline", F.col("previous_rolling_avg") - F.col(ROLLING))
-            .where("rating_decline > 0")
-            .orderBy(F.desc("rating_decline"), "parent_asin", "category", "review_date").limit(n))
+    fallen = (metrics.select("parent_asin", "category", "review_date", ROLLING,
+                             previous.alias("previous_rolling_avg"))
+              .withColumn("rating_decline", F.col("previous_rolling_avg") - F.col(ROLLING))
+              .where("rating_decline > 0"))
+    order = [F.desc("rating_decline"), F.asc("parent_asin"), F.asc("review_date")]
+    if n is not None:
+        fallen = _first_per_category(fallen, n, *order)
+    return fallen.orderBy(*order, "category")
 
 
 # --- trust ----------------------------------------------------------------------------------
@@ -223,9 +233,9 @@ def top_categories_by_rating(trends: DataFrame, start=None, end=None) -> DataFra
 
 
 def declining_in_period(metrics: DataFrame, category: str, start=None, end=None,
-                        n: int = REPORT_ROWS) -> DataFrame:
+                        n: int | None = None) -> DataFrame:
     """lag_decline within one category and period."""
-    return lag_decline(restrict(metrics.where(F.col("category") == category), start, end), n)
+    return lag_decline(restrict(metrics, start, end), category, n=n)
 
 
 def verified_on_date(impact: DataFrame, day) -> DataFrame:
@@ -234,15 +244,28 @@ def verified_on_date(impact: DataFrame, day) -> DataFrame:
         "category", "purchase_type", "daily_review_count", "avg_rating")
 
 
-def most_reviewed(metrics: DataFrame, start, end, n: int = REPORT_ROWS) -> DataFrame:
+def verified_in_period(impact: DataFrame, start, end) -> DataFrame:
+    """Verified against non-verified reviews of a period, per category: number of reviews and
+    their average rating, the daily averages weighted by their reviews."""
+    count = F.sum("daily_review_count")
+    return (_labelled(restrict(impact, start, end)).groupBy("category", "purchase_type")
+            .agg(count.alias("review_count"),
+                 F.try_divide(F.sum(F.col("daily_review_count") * F.col("avg_rating")), count).alias("avg_rating")))
+
+
+def most_reviewed(metrics: DataFrame, start, end, n: int | None = None) -> DataFrame:
     """Products by number of reviews in a period, from the running totals: the last total in
-    the period minus the last one before it. `metrics` must reach back before the period."""
+    the period minus the last one before it. `metrics` must reach back before the period.
+    All products, or the n with most reviews per category."""
     day = F.col("review_date")
     inside = F.max(F.when(fc.date_between(day, start, end), F.col("total_reviews")))
     before = F.max(F.when(day < F.lit(start).cast("date"), F.col("total_reviews")))
-    return (restrict(metrics, None, end).groupBy("parent_asin", "category")
+    found = (restrict(metrics, None, end).groupBy("parent_asin", "category")
             .agg(inside.alias("_inside"), before.alias("_before"))
             .where("_inside is not null")
             .select("parent_asin", "category",
-                    (F.col("_inside") - F.coalesce("_before", F.lit(0))).alias("reviews_in_period"))
-            .orderBy(F.desc("reviews_in_period"), "parent_asin", "category").limit(n))
+                    (F.col("_inside") - F.coalesce("_before", F.lit(0))).alias("reviews_in_period")))
+    order = [F.desc("reviews_in_period"), F.asc("parent_asin")]
+    if n is not None:
+        found = _first_per_category(found, n, *order)
+    return found.orderBy(*order, "category")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratings_engine.functions import columns as fc
-from ratings_engine.operators.skew import heavy_keys, salted_join
 
 # Sizes and layout of a block.
 NEWEST_REVIEWS = 50
@@ -30,17 +29,16 @@ def review_bundle(silver: DataFrame, products: DataFrame, n: int = NEWEST_REVIEW
                   chars: int = EXCERPT_CHARS, keep: int = SHOWN_REVIEWS) -> DataFrame:
     """Per product: its newest n reviews, of those the first `keep` with text, as one block.
 
-    Excerpts are taken where the text is read, so full texts are never shuffled. Products with
-    very many reviews are salted in the semi-join, and each task passes on at most n rows per
-    product (window group limit); a product's group ends with at most `keep` excerpts."""
+    Excerpts are taken where the text is read, so full texts are never shuffled. Ranking comes
+    first: each task passes on at most n rows per product (window group limit), so no product is
+    hot in the semi-join that follows on the same key. Spark moves that join below the ranking
+    when the products are few enough to broadcast."""
     reviews = silver.select(*PRODUCT_KEY, "review_id", "review_timestamp", "rating",
                             excerpt(F.col("review_text"), chars).alias("_excerpt"))
-    wanted = salted_join(reviews, products.select(*PRODUCT_KEY).distinct(), PRODUCT_KEY,
-                         "left_semi", heavy_keys(silver.select(*PRODUCT_KEY), PRODUCT_KEY),
-                         spread=["review_id"])
     recency = (Window.partitionBy(*PRODUCT_KEY)
                .orderBy(F.desc("review_timestamp"), F.asc("review_id")))
-    newest = (wanted.withColumn("_age", F.row_number().over(recency)).where(F.col("_age") <= n)
+    newest = (reviews.withColumn("_age", F.row_number().over(recency)).where(F.col("_age") <= n)
+              .join(products.select(*PRODUCT_KEY).distinct(), list(PRODUCT_KEY), "left_semi")
               .where("_excerpt <> ''"))
     shown = (newest.withColumn(
                  "_place", F.row_number().over(Window.partitionBy(*PRODUCT_KEY).orderBy("_age")))

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ratings_engine import schemas
 from ratings_engine.functions import columns as fc
-from ratings_engine.operators.skew import heavy_keys, salted_join
 
 PRODUCT_KEY = ("parent_asin", "category")
 
@@ -52,18 +51,14 @@ def prepare_metadata(metadata: DataFrame) -> DataFrame:
     return newest.drop("ingestion_date")
 
 
-def enrich(reviews: DataFrame, products: DataFrame, heavy: DataFrame | None = None,
-           small_products: bool = False) -> DataFrame:
+def enrich(reviews: DataFrame, products: DataFrame, small_products: bool = False) -> DataFrame:
     """Left join with the product columns; a review without a product keeps nulls.
 
     small_products says that the caller has checked the size of the products (see
-    is_small_enough): they are broadcast then. Otherwise the join is salted for the products in
-    `heavy`, by default those with very many reviews here."""
-    if small_products:
-        return reviews.join(F.broadcast(products), list(PRODUCT_KEY), "left")
-    if heavy is None:
-        heavy = heavy_keys(reviews.select(*PRODUCT_KEY), PRODUCT_KEY)
-    return salted_join(reviews, products, PRODUCT_KEY, "left", heavy, spread=["review_id"])
+    is_small_enough): they are broadcast then. Otherwise it is a plain equi-join, in which adaptive
+    execution splits the reviews of a product that has very many."""
+    right = F.broadcast(products) if small_products else products
+    return reviews.join(right, list(PRODUCT_KEY), "left")
 
 
 # Stored size up to which product metadata is broadcast. Columnar files of titles and numbers
@@ -82,7 +77,5 @@ def build_silver(reviews: DataFrame, metadata: DataFrame,
     unique = dedup_latest(keyed, ["review_id"], newest_first(keyed, ["review_id"]))
     typed = with_event_time(unique).withColumnsRenamed(
         {"title": "review_title", "text": "review_text", "timestamp": "raw_timestamp"})
-    # Counted on the narrow input: an upper bound of the counts after deduplication.
-    heavy = heavy_keys(reviews.select(*PRODUCT_KEY), PRODUCT_KEY)
-    return enrich(typed, prepare_metadata(metadata), heavy, small_metadata).select(
+    return enrich(typed, prepare_metadata(metadata), small_metadata).select(
         *schemas.SILVER.names)

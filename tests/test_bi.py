@@ -40,17 +40,27 @@ def random_metrics(spark, seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_value_for_money_against_pandas(spark, seed):
+def test_value_for_money_against_counting(spark, seed):
     metrics, frame = random_metrics(spark, seed)
     got = {(r.category, r.parent_asin): r.value_score
            for r in bi.value_for_money(metrics, n=20).collect()}
-    want = {}
-    for category, piece in frame.groupby("category"):
-        latest = piece.sort_values("review_date").groupby("parent_asin").tail(1)
-        latest = latest.dropna(subset=["avg_price", "rolling_30d_avg_rating"])
-        top = latest.sort_values(["total_reviews", "parent_asin"], ascending=[False, True]).head(20)
-        score = top.rolling_30d_avg_rating.rank(pct=True) - top.avg_price.rank(pct=True)
-        want |= {(category, p): s for p, s in zip(top.parent_asin, score)}
+    newest, want = {}, {}
+    for row in frame.itertuples():
+        key = (row.category, row.parent_asin)
+        if key not in newest or newest[key].review_date < row.review_date:
+            newest[key] = row
+
+    def place(value, values):
+        return (sum(v < value for v in values) + (1 + sum(v == value for v in values)) / 2) / len(values)
+
+    for category in "XY":
+        known = [r for r in newest.values() if r.category == category
+                 and r.avg_price == r.avg_price and r.rolling_30d_avg_rating == r.rolling_30d_avg_rating]
+        known = [r for r in known if sum((o.total_reviews, r.parent_asin) > (r.total_reviews, o.parent_asin)
+                                         for o in known) < 20]
+        ratings, prices = ([getattr(r, c) for r in known] for c in ("rolling_30d_avg_rating", "avg_price"))
+        for r in known:
+            want[category, r.parent_asin] = place(r.rolling_30d_avg_rating, ratings) - place(r.avg_price, prices)
     assert got == pytest.approx(want)
     best = bi.top_value(metrics, n=20, k=3).collect()
     for category in "XY":
@@ -146,7 +156,11 @@ def test_lag_decline_compares_consecutive_rows(spark):
         ("b", "2024-01-01", 3.0), ("b", "2024-01-02", 1.0)))
     assert [(r.parent_asin, r.rating_decline) for r in bi.lag_decline(metrics).collect()] == [
         ("b", 2.0), ("a", 1.0)]
-    assert [r.parent_asin for r in bi.lag_decline(metrics, 1).collect()] == ["b"]
+    assert [r.parent_asin for r in bi.lag_decline(metrics, n=1).collect()] == ["b"]
+    assert [r.parent_asin for r in bi.lag_decline(metrics, "C", 12, today="2024-02-01").collect()] == []
+    assert [r.parent_asin for r in bi.lag_decline(metrics, "C", 13, today="2024-02-01").collect()] == []
+    assert [r.parent_asin for r in bi.lag_decline(metrics, "C", 31, today="2024-02-01").collect()] == ["b", "a"]
+    assert bi.lag_decline(metrics, "other").count() == 0
     assert bi.declining_in_period(metrics, "C", "2024-01-02", "2024-01-31").count() == 0
 
 
