@@ -49,16 +49,38 @@ def check_read_only(text: str) -> str:
     return query
 
 
+def _refuse_writes(spark: SparkSession, query: str) -> None:
+    """ValueError if Spark's parser finds a command or a statement that writes anywhere in it.
+
+    The parser reads literals as Spark will run them, raw strings included."""
+    node = "org.apache.spark.sql.catalyst.plans.logical."
+    loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    kinds = [loader.loadClass(node + name) for name in ("Command", "ParsedStatement")]
+    waiting = [spark._jsparkSession.sessionState().sqlParser().parsePlan(query)]
+    while waiting:
+        plan = waiting.pop()
+        if any(kind.isInstance(plan) for kind in kinds):
+            raise ValueError(f"only reading is allowed, found {plan.nodeName()}")
+        for nested in (plan.children(), plan.innerChildren()):
+            waiting += [nested.apply(i) for i in range(nested.size())]
+
+
 def safe_sql(spark: SparkSession, text: str, cap: int = ROW_CAP) -> DataFrame:
     """Run a read-only query; at most `cap` rows come back whatever limits it has itself."""
-    return spark.sql(check_read_only(text)).limit(cap)
+    query = check_read_only(text)
+    _refuse_writes(spark, query)
+    return spark.sql(query).limit(cap)
 
 
 def relative_bounds(name: str, anchor: date | str | None = None) -> tuple[date, date]:
-    """First and last date of a named period before the anchor (today by default)."""
+    """First and last date of a named period before the anchor (by default today, in the zone of
+    the active session)."""
     if name not in PERIODS:
         raise ValueError(f"unknown period {name}, expected one of {list(PERIODS)}")
-    day = date.today() if anchor is None else date.fromisoformat(str(anchor))
+    if anchor is None:
+        session = SparkSession.getActiveSession()
+        anchor = session.sql("select current_date()").first()[0] if session else date.today()
+    day = date.fromisoformat(str(anchor))
     first, last = PERIODS[name]
     return day - timedelta(days=first), day - timedelta(days=last)
 

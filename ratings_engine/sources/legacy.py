@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import ast
-import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from ratings_engine import schemas
 from ratings_engine.functions.columns import strip
@@ -28,56 +26,66 @@ METADATA_FIELDS = (
 ROWS_PER_CATEGORY = 10_000
 # End of fixed values.
 
-_CORRUPT = "_corrupt_record"
+_KEYS = "_keys"
+# Python literals use single quotes, and a backslash before any character.
+_LENIENT = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+_TOKEN = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+"""
+
+
+def _as_json(line: Column) -> Column:
+    """JSON text of a Python literal: outside quotes None, True and False become JSON words, tuples
+    arrays, and string prefixes and closing commas go; inside, escapes by \\x become those by \\u."""
+    def outside(token):
+        for pattern, by in ((r"\bNone\b", "null"), (r"\bTrue\b", "true"), (r"\bFalse\b", "false"),
+                            (r"\(", "["), (r",?\s*\)", "]"), (r",\s*([\]}])", "$1"), (r"\b[uUbBrR]$", "")):
+            token = F.regexp_replace(token, pattern, by)
+        return token
+
+    def inside(token):
+        return F.regexp_replace(token, r"\\x([0-9A-Fa-f]{2})", r"\\u00$1")
+
+    tokens = F.regexp_extract_all(line, F.lit(_TOKEN), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike("^['\"]"), inside(t)).otherwise(outside(t))), "")
+
+
+def _texts(spark: SparkSession, path) -> DataFrame:
+    """(line): the lines of files of lines, and the whole text of files that are one array or object
+    over many lines. Which kind a file is, its first line that is not blank tells: it opens an array
+    it does not close, or is a lone brace. Only names of whole-text files reach the driver."""
+    raw = spark.read.text(path).select(
+        strip(F.col("value")).alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id")).alias("place"))
+    filled = raw.where("line <> ''")
+    first = filled.groupBy("file").agg(F.min_by("line", "place").alias("first"))
+    whole = [row.file for row in first.where(
+        (F.col("first").startswith("[") & ~F.col("first").endswith("]")) | (F.col("first") == "{")).collect()]
+    lines = filled.where(~F.col("file").isin(whole)).select("line")
+    if whole:
+        lines = lines.unionByName(spark.read.text([unquote(name) for name in whole], wholetext=True).select(strip(F.col("value")).alias("line")))
+    return lines.where("line not in ('', 'null', 'None')")
+
+
+def read_raw_any(spark: SparkSession, path, fields: Sequence[str]) -> DataFrame:
+    """Records of JSON lines, Python-literal lines and JSON arrays, on one line or over many: one text
+    column per field, and _keys, the names each record has. How a file is written is found file by
+    file. Blank lines, nulls and undecodable lines are left out."""
+    record = "struct<" + ",".join(f"`{name}`:string" for name in fields) + ">"
+
+    def parsed(text, kind):
+        return F.from_json(text, kind, {**_LENIENT, "mode": "PERMISSIVE"})
 
-
-def _text_fields(fields: Sequence[str]) -> StructType:
-    return StructType([StructField(f, StringType()) for f in (*fields, _CORRUPT)])
-
-
-def _literals(lines: pd.Series) -> pd.Series:
-    """JSON text of lines that hold a Python dict literal; null for anything else."""
-    def convert(line):
-        if line is None:
-            return None
-        try:
-            value = ast.literal_eval(line)
-            return json.dumps(value, default=str) if isinstance(value, dict) else None
-        except (ValueError, SyntaxError, MemoryError, RecursionError):
-            return None
-    return lines.map(convert)
-
-
-def read_raw_any(spark: SparkSession, path, fields: Sequence[str],
-                 multiline: bool = False) -> DataFrame:
-    """Records of JSON lines, Python-literal lines and JSON arrays, one text column per field.
-
-    Arrays that fit on a line are handled line by line; multiline=True reads files that are one
-    array (or object) over many lines. Blank lines, nulls and undecodable lines are left out."""
-    record = _text_fields(fields)
-    if multiline:
-        rows = (spark.read.schema(record).option("multiLine", True)
-                .option("columnNameOfCorruptRecord", _CORRUPT).json(path))
-        return rows.where(f"{_CORRUPT} is null").drop(_CORRUPT)
-
-    options = {"columnNameOfCorruptRecord": _CORRUPT}
     line = F.col("line")
-    is_array = line.startswith("[")
-    closed = F.when(line.startswith("{") & line.endswith("}"), line)
-    lines = (spark.read.text(path).select(strip(F.col("value")).alias("line"))
-             .where("line not in ('', 'null', 'None')"))
-    first = lines.select(
-        line, is_array.alias("is_array"),
-        F.from_json(F.when(is_array, line), ArrayType(record), options).alias("items"),
-        F.from_json(closed, record, options).alias("item"))
-    failed = ~F.col("is_array") & (F.col("item").isNull() | F.col(f"item.{_CORRUPT}").isNotNull())
-    # Only lines that are no JSON carry a value into the Python helper.
-    second = first.withColumn("again", F.from_json(
-        F.pandas_udf(_literals, "string")(F.when(failed, line)), record, options))
-    good = F.when(F.col("is_array"), F.col("items")).when(failed, F.array("again")) \
-        .otherwise(F.array("item"))
-    return (second.select(F.explode(good).alias("record")).where("record is not null")
-            .select("record.*").where(f"{_CORRUPT} is null").drop(_CORRUPT))
+    tried = _texts(spark, path).select(
+        line, F.when(line.startswith("["), line).otherwise(F.concat(F.lit("["), line, F.lit("]"))).alias("text"))
+    # As a map first: it is null for text that is no JSON, and has the names of the record.
+    maps = "array<map<string,string>>"
+    known = tried.select("text", parsed(F.col("text"), maps).alias("maps"))
+    bad = F.col("maps").isNull() | F.exists("maps", lambda m: m.isNull())
+    known = known.withColumn("text", F.when(bad, _as_json(F.col("text"))).otherwise(F.col("text")))
+    known = known.withColumn("maps", F.when(bad, parsed(F.col("text"), maps)).otherwise(F.col("maps")))
+    rows = known.select(F.explode(F.arrays_zip("maps", parsed(F.col("text"), f"array<{record}>").alias("items"))).alias("row"))
+    return (rows.where("row.maps is not null and row.items is not null")
+            .select("row.items.*", F.map_keys("row.maps").alias(_KEYS)))
 
 
 def _or_empty(*columns: str) -> Column:
@@ -95,7 +103,8 @@ def _number(kind: str, *columns: str) -> Column:
 def _whole(*columns: str) -> Column:
     """_number() for long values, which a double would round."""
     zero = F.lit(0).cast("long")
-    return F.coalesce(*(F.nullif(F.col(c).try_cast("long"), zero) for c in columns), zero)
+    return F.coalesce(*(F.nullif(F.coalesce(F.col(c).try_cast("long"), F.col(c).try_cast("decimal(38,9)").try_cast("long")),
+                                 zero) for c in columns), zero)
 
 
 def _choose(schema: StructType, older: Column, mapped: dict[str, Column]) -> list[Column]:
@@ -112,7 +121,7 @@ def normalize_reviews(df: DataFrame) -> DataFrame:
 
     A record with `overall` is of the older kind; its time is in seconds."""
     votes = F.from_json(F.col("helpful"), ArrayType(StringType()))
-    return df.select(*_choose(schemas.REVIEW_RAW, F.col("overall").isNotNull(), {
+    return df.select(*_choose(schemas.REVIEW_RAW, F.array_contains(_KEYS, "overall"), {
         "rating": F.col("overall").try_cast("double"),
         "title": _or_empty("summary"),
         "text": _or_empty("reviewText"),
@@ -139,7 +148,7 @@ def normalize_metadata(df: DataFrame) -> DataFrame:
     categories = F.coalesce(
         F.when(raw.rlike(r"^\[\s*\["), F.get(nested, F.lit(0))).otherwise(flat),
         F.array().cast("array<string>"))
-    return df.select(*_choose(schemas.METADATA_RAW, F.col("main_category").isNull(), {
+    return df.select(*_choose(schemas.METADATA_RAW, ~F.array_contains(_KEYS, "main_category"), {
         "main_category": F.coalesce(F.get(categories, F.lit(0)), F.lit("")),
         "title": F.coalesce("title", F.lit("")),
         "average_rating": _number("double", "average_rating", "avg_rating"),

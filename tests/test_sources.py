@@ -110,7 +110,7 @@ def test_mixed_encodings(spark, tmp_path):
 
 def test_array_over_many_lines(spark, tmp_path):
     write(tmp_path / "array.gz", "[", '{"overall": 4,', '"asin": "A"},', '{"overall": 2}', "]")
-    df = legacy.read_raw_any(spark, str(tmp_path / "array.gz"), legacy.REVIEW_FIELDS, True)
+    df = legacy.read_raw_any(spark, str(tmp_path / "array.gz"), legacy.REVIEW_FIELDS)
     assert sorted(r.rating for r in legacy.normalize_reviews(df).collect()) == [2.0, 4.0]
 
 
@@ -146,3 +146,35 @@ def test_cap_keeps_the_first_rows_of_each_category(spark):
 def test_cap_with_many_equal_rows(spark):
     df = spark.range(500).select(F.lit("c").alias("category"), F.lit(1).alias("v"))
     assert legacy.cap_per_category(df, 20, [F.asc("v")]).count() == 20
+
+
+def test_each_file_of_a_folder_by_its_own_encoding(spark, tmp_path):
+    (tmp_path / "lines.json").write_text('{"overall": 1, "asin": "a"}\n\nnull\nbroken {\n{"overall": 2, "asin": "b"}\n')
+    (tmp_path / "literals.json").write_text(
+        "{'overall': 3.0, 'asin': u'c', 'reviewText': \"it's (None)\", 'helpful': (1, 2), 'verified_purchase': True}\n"
+        "{'overall': 4.0, 'asin': 'd', 'summary': 'say \\'hi\\' \\xe9', 'reviewText': None,}\n")
+    (tmp_path / "oneline.json").write_text('[{"overall": 5, "asin": "e"}, {"overall": 6, "asin": "f"}]\n')
+    (tmp_path / "pretty.json").write_text('[\n  {"overall": 7,\n   "asin": "g"},\n  {"overall": 8, "asin": "h"}\n]\n')
+    (tmp_path / "object.json").write_text('{\n  "overall": 9,\n  "asin": "i"\n}\n')
+    raw = legacy.read_raw_any(spark, str(tmp_path), legacy.REVIEW_FIELDS)
+    assert raw.count() == 9
+    rows = {r.asin: r for r in legacy.normalize_reviews(raw).collect()}
+    assert {a: r.rating for a, r in rows.items()} == {a: float(k) for k, a in enumerate("abcdefghi", 1)}
+    assert rows["c"].text == "it's (None)" and rows["c"].helpful_vote == 1 and rows["c"].verified_purchase
+    assert rows["d"].title == "say 'hi' é" and rows["d"].text == ""
+
+
+def test_absent_and_null_fields_differ(spark, tmp_path):
+    (tmp_path / "m.json").write_text(
+        '{"main_category": null, "title": "now", "price": null, "store": null, "categories": ["X"], "parent_asin": "p"}\n'
+        '{"title": "then", "categories": [["Y", "Z"]], "asin": "q"}\n')
+    rows = {r.title: r for r in legacy.normalize_metadata(
+        legacy.read_raw_any(spark, str(tmp_path), legacy.METADATA_FIELDS)).collect()}
+    assert (rows["now"].main_category, rows["now"].price, rows["now"].store) == (None, None, None)
+    assert (rows["then"].main_category, rows["then"].price, rows["then"].parent_asin) == ("Y", "", "q")
+
+
+def test_seconds_with_decimals(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"overall": 5, "unixReviewTime": 1588687728.0}\n{"overall": 4, "unixReviewTime": "1588687729"}\n')
+    rows = legacy.normalize_reviews(legacy.read_raw_any(spark, str(tmp_path), legacy.REVIEW_FIELDS)).collect()
+    assert sorted(r.timestamp for r in rows) == [1588687728000, 1588687729000]

@@ -19,6 +19,21 @@ def test_refused(spark, text):
         sqlsurface.safe_sql(spark, text)
 
 
+@pytest.mark.parametrize("escaped", ["true", "false"])
+def test_a_write_behind_a_raw_string_is_refused(spark, escaped):
+    spark.sql("create or replace temp view written as select 'x' as y")
+    text = r"WITH a AS (SELECT r'\' AS x) INSERT INTO written SELECT 'y' FROM a"
+    spark.conf.set("spark.sql.parser.escapedStringLiterals", escaped)
+    try:
+        with pytest.raises(ValueError, match="Insert"):
+            sqlsurface.safe_sql(spark, text)
+        assert sqlsurface.safe_sql(spark, "WITH a AS (SELECT 1 AS x) SELECT * FROM a WHERE x IN "
+                                          "(SELECT 1)").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.parser.escapedStringLiterals")
+    assert rows_of(spark.table("written")) == [("x",)]
+
+
 def test_words_in_literals_names_and_comments_are_allowed(spark):
     got = sqlsurface.safe_sql(
         spark, "-- drop it\nSELECT 'UPDATE it''s' AS `delete`, \"MERGE\" AS x /* create */ ;")
