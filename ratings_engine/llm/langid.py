@@ -225,10 +225,13 @@ def positions(model: Model, text: str) -> list[str]:
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
         max_rows: int = MAX_ROWS) -> Model:
-    """Train on at most max_rows rows with a language and a text, chosen by a hash of the id."""
-    sample = (rows.where(F.col(lang).isNotNull() & (F.length(text) > 0))
-              .select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-              .orderBy(F.xxhash64("id"), "id", "lang").limit(max_rows))
+    """Train on at most max_rows different rows with a language and a text: those of least hash.
+
+    Only hashes are sorted; texts are read again below the largest chosen hash, equal rows once."""
+    hashed = (rows.where(F.col(lang).isNotNull() & (F.length(text) > 0))
+              .select(F.xxhash64(doc_id, text, lang).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")))
+    most = hashed.select("id").distinct().orderBy("id").limit(max_rows).agg(F.max("id")).first()[0]
+    sample = hashed.where(F.col("id") <= F.lit(most)).dropDuplicates(["id"])
 
     def trained(batches):
         texts, labels = [], []

@@ -159,13 +159,13 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         label: str = "quality", max_rows: int = MAX_ROWS) -> Model:
     """Fit on at most max_rows labelled ids (label 0 or 1; others do not count).
 
-    The sample is broadcast (its size is bounded), so texts are not shuffled; their features meet in
-    one task. Null texts count as empty."""
+    The sample is broadcast (its size is bounded), so only its texts move; rows of one id and label
+    count once, and the features meet in one task. Null texts count as empty."""
     chosen = (labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
               .select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("id"), "id", "label").limit(max_rows))
     sample = (docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-              .join(F.broadcast(chosen), "id").select("id", "label", "text"))
+              .join(F.broadcast(chosen), "id").select("id", "label", "text").dropDuplicates(["id", "label"]))
 
     def featured(batches):
         for batch in batches:
@@ -184,8 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         np.savez(out, ratio=model.ratio, weight=model.weight, rest=[model.bias, *model.curve])
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]})
 
-    # A fixed order of rows, so that the same sample gives the same model. Copies of an id count once
-    # too often at most: the sample holds max_rows ids.
+    # A fixed order of rows, so that the same sample gives the same model.
     rows = sample.mapInArrow(featured, "id bigint, label int, places array<int>")
     (saved,) = (rows.repartition(1).sortWithinPartitions("id", "label")
                 .mapInArrow(fitted, "model binary").first())
