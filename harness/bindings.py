@@ -18,24 +18,13 @@ from ratings_engine.operators.silver import build_silver, is_small_enough
 from ratings_engine.sources import storage
 
 
-SPREAD = {"lineitem": "l_orderkey", "documents": "doc_id"}
+#: Raw folders that bound reviews are spread over.
+RAW_SHARDS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    # A small file is one row group and would keep all but one core idle; large inputs have
-    # more splits than cores and are left as they are.
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, SPREAD[name])
-    return df
-
-
-def raw_shards(spark: SparkSession, sf_dir: str) -> int:
-    """Number of raw folders to spread the reviews over: a share of the splits they come from."""
-    splits = spark.read.parquet(f"{sf_dir}/lineitem.parquet").rdd.getNumPartitions()
-    return max(4, splits // 4)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,17 +72,13 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(F.lit("2026-01-01").cast("date"), F.col("batch")).alias("ingestion_date"))
 
 
-def newest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metadata(spark, sf_dir).where("ingestion_date = date'2026-01-02'")
-
-
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built(spark, sf_dir, reviews(spark, sf_dir))
 
 
 def built(spark: SparkSession, sf_dir: str, some_reviews: DataFrame) -> DataFrame:
-    """Silver rows of some reviews; the metadata is as large as the part table."""
-    small = is_small_enough(storage.size_bytes(spark, f"{sf_dir}/part.parquet"))
+    """Silver rows of some reviews; the metadata has two rows per row of the part table."""
+    small = is_small_enough(2 * storage.size_bytes(spark, f"{sf_dir}/part.parquet"))
     return build_silver(some_reviews, metadata(spark, sf_dir), small)
 
 

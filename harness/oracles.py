@@ -166,12 +166,22 @@ def _sql(ctes, select: str) -> str:
     return "with " + ",\n".join(ctes) + "\n" + select
 
 
-def _one_batch(ctes):
-    """The same tables when everything arrives in one batch with the newest metadata only."""
+def _two_deliveries(ctes):
+    """The same tables when the reviews arrive in two deliveries, labelled by their day."""
     return (_RV.replace("date '2026-01-01' + cast(l_orderkey % 3 + copy as int)",
-                        "date '2026-02-01'"),
-            _MT.replace("(select *, 0 as batch from part union all select *, 1 from part)",
-                        "(select *, 1 as batch from part)"), *ctes[2:])
+                        "date '2026-02-01' + case when l_orderkey % 3 + copy > 1 then 1 else 0 end"),
+            *ctes[1:])
+
+
+def _looking_back(ctes):
+    """The same tables over the reviews of the newest batch's days and 29 days before them."""
+    bounds = """bounds as (
+      select min(review_date) as first_day, max(review_date) as last_day from all_sv
+      where ingestion_date = date '2026-01-04'),
+    sv as (select all_sv.* from all_sv, bounds
+           where review_date between first_day - 29 and last_day)"""
+    return [c.replace("sv as (", "all_sv as (", 1) + ",\n" + bounds if c.startswith("sv as (") else c
+            for c in ctes]
 
 
 def _period(first: int, last: int) -> str:
@@ -196,6 +206,18 @@ _SV_ALL = _sql(SILVER, "select * from sv")
 _DAMAGED = """damaged as (
   select *, verified_purchase is not null and "text" not like '% R %' as readable from rv)"""
 
+_LEGACY = """
+        select l_quantity as rating,
+               case when l_returnflag = 'R' then '' else l_linestatus end as title,
+               case l_returnflag when 'R' then concat('None of it''s "True" ', l_quantity)
+                                 when 'A' then '' else 'plain' end as "text",
+               concat('A', l_partkey) as asin, concat('A', l_partkey) as parent_asin,
+               concat('U', l_suppkey) as user_id, epoch_ms(l_shipdate) as "timestamp",
+               cast(l_linenumber as bigint) as helpful_vote,
+               case l_returnflag when 'R' then true when 'A' then false
+                                 else l_linenumber > 3 end as verified_purchase
+        from {rows}"""
+
 ORACLES = {
     "src_read_jsonl": _sql([_RV], f"select {RAW} from rv"),
     "src_bulk_scan": _sql([_MT], f"select {', '.join(METADATA_RAW.names)} from mt"),
@@ -210,17 +232,15 @@ ORACLES = {
     "src_slice": _sql(SILVER, """
         select * from sv where category = 'ECONOMY'
           and review_date between date '1996-03-01' and date '1999-08-31'"""),
-    "src_legacy_reviews": """
-        select l_quantity as rating,
-               case when l_returnflag = 'R' then '' else l_linestatus end as title,
-               case l_returnflag when 'R' then concat('None of it''s "True" ', l_quantity)
-                                 when 'A' then '' else 'plain' end as "text",
-               concat('A', l_partkey) as asin, concat('A', l_partkey) as parent_asin,
-               concat('U', l_suppkey) as user_id, epoch_ms(l_shipdate) as "timestamp",
-               cast(l_linenumber as bigint) as helpful_vote,
-               case l_returnflag when 'R' then true when 'A' then false
-                                 else l_linenumber > 3 end as verified_purchase
-        from lineitem""",
+    "src_legacy_reviews": _LEGACY.format(rows="lineitem"),
+    "src_mixed_encodings": _LEGACY.format(
+        rows="(select * from lineitem union all select * from lineitem where l_returnflag = 'A')"),
+    "src_missing_input": _sql([_RV], """
+        select category, date '2026-02-01' as ingestion_date, count(*) as "count"
+        from rv group by category"""),
+    "sink_small_output": """select unnest([date '2026-01-01', date '2026-01-02']) as ingestion_date,
+        true as few_files""",
+    "silver_empty_batch": _sql(SILVER, 'select category, count(*) as "count" from sv group by category'),
     "src_legacy_metadata": """
         select case when p_size % 2 = 0 then p_type else 'Current' end as main_category,
                p_name as title, cast(p_size % 6 as double) as average_rating,
@@ -275,16 +295,17 @@ ORACLES = {
     "gold_upsert": _sql(VI, "select * from vi"),
     "gold_schema_evolution": _sql(CT, "select category, review_date, daily_review_count, "
         "daily_avg_rating, " + ", ".join(
-            f"case when review_date >= date '1998-05-01' then count_{n}_star end as count_{n}_star"
-            for n in range(1, 6)) + " from ct"),
+            f"case when review_date >= date '1998-05-01' and dayofweek(review_date) < 5 "
+            f"then count_{n}_star end as count_{n}_star" for n in range(1, 6)) + """,
+            case when review_date >= date '1998-05-01' and dayofweek(review_date) < 4
+                 then daily_review_count * 2 end as bar from ct"""),
+    "upsert_after_crash": _sql(CT, "select * from ct where review_date <= date '1999-12-31' "
+                                   "or review_date >= date '1999-06-01'"),
     "gold_touched_categories": _sql(SILVER, "select distinct category from sv"),
     "gold_compaction": _PM_ALL,
     "gold_incremental": _PM_ALL,
-    "gold_incremental_lookback": _sql(VI, """
-        select vi.* from vi,
-          (select min(review_date) as a, max(review_date) as b from sv
-           where ingestion_date = date '2026-01-04' and category = 'ECONOMY')
-        where category = 'ECONOMY' and review_date between a and b"""),
+    "gold_incremental_lookback": _sql(_looking_back(PM), """
+        select pm.* from pm, bounds where review_date between first_day and last_day"""),
 
     "bi_catalog": _sql(CT, """
         select string_agg(distinct category, '|' order by category) as categories,
@@ -425,5 +446,5 @@ ORACLES = {
                - count(distinct concat(user_id, '|', parent_asin, '|', "timestamp"))
                  filter (readable) as bronze_to_silver_drop
         from damaged group by category"""),
-    "medallion_end_to_end": _sql(_one_batch(PM), "select * from pm"),
+    "medallion_end_to_end": _sql(_two_deliveries(PM), "select * from pm"),
 }

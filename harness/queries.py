@@ -49,7 +49,7 @@ def src_read_jsonl(spark, sf_dir):
 def src_bulk_scan(spark, sf_dir):
     path = _scratch(spark)
     write_lines(json_lines(b.metadata(spark, sf_dir), b.RAW_METADATA_COLUMNS), path, "metadata",
-                b.raw_shards(spark, sf_dir), "meta_")
+                b.RAW_SHARDS, "meta_")
     return (raw.read_jsonl_tree(spark, path, schemas.METADATA_RAW)
             .withColumn("categories", F.array_join("categories", "|")))
 
@@ -58,7 +58,7 @@ def src_bulk_scan(spark, sf_dir):
 def src_category_from_path(spark, sf_dir):
     path = _scratch(spark)
     write_lines(json_lines(b.reviews(spark, sf_dir), b.RAW_REVIEW_COLUMNS), path, "reviews",
-                b.raw_shards(spark, sf_dir))
+                b.RAW_SHARDS)
     return raw.with_category_from_path(
         raw.read_jsonl_tree(spark, path, schemas.REVIEW_RAW), "reviews")
 
@@ -122,13 +122,14 @@ def _mixed_review_lines(spark, sf_dir):
         line.alias("helpful_vote"), (line > 3).alias("verified_purchase")))
     flag = F.col("l_returnflag")
     return rows.select(F.when(flag == "R", literal).when(flag == "A", older)
-                       .otherwise(current).alias("line"))
+                       .otherwise(current).alias("line"), flag.alias("flag"), (line == 2).alias("many"),
+                       F.floor(F.col("l_orderkey") / 4096).alias("shelf"))
 
 
 @query
 def src_legacy_reviews(spark, sf_dir):
     path = _scratch(spark)
-    _mixed_review_lines(spark, sf_dir).write.option("compression", "gzip").text(path)
+    _mixed_review_lines(spark, sf_dir).select("line").write.option("compression", "gzip").text(path)
     return legacy.normalize_reviews(legacy.read_raw_any(spark, path, legacy.REVIEW_FIELDS))
 
 
@@ -202,6 +203,58 @@ def silver_enrich(spark, sf_dir):
         "product_avg_rating", "price")
 
 
+@query
+def src_mixed_encodings(spark, sf_dir):
+    """One folder with JSON lines, Python literals, one-line arrays and an array over many lines."""
+    path, lines = _scratch(spark), _mixed_review_lines(spark, sf_dir)
+    flag = F.col("flag")
+    lines.where(flag == "R").select("line").write.text(path)
+    lines.where((flag == "N") & ~F.col("many")).select("line").write.mode("append").text(path)
+    (lines.where(flag == "A").select(F.concat(F.lit("["), "line", F.lit(", "), "line", F.lit("]")))
+     .write.mode("append").text(path))
+    pretty = F.concat(F.lit("[\n"), F.array_join(F.collect_list("line"), ",\n"), F.lit("\n]"))
+    (lines.where((flag == "N") & F.col("many")).groupBy("shelf").agg(pretty.alias("line"))
+     .select("line").write.option("maxRecordsPerFile", 1).mode("append").text(path))
+    return legacy.normalize_reviews(legacy.read_raw_any(spark, path, legacy.REVIEW_FIELDS))
+
+
+@query
+def src_missing_input(spark, sf_dir):
+    """What Bronze holds after an ingest that is refused because a raw file is missing."""
+    root = _scratch(spark)
+    write_lines(json_lines(b.reviews(spark, sf_dir), b.RAW_REVIEW_COLUMNS), f"{root}/raw", "reviews", b.RAW_SHARDS)
+    write_lines(json_lines(b.metadata(spark, sf_dir), b.RAW_METADATA_COLUMNS), f"{root}/raw", "metadata",
+                b.RAW_SHARDS, "meta_")
+    bronze = medallion.bronze_path(f"{root}/tables")
+    raw.ingest(spark, f"{root}/raw", bronze, None, "2026-02-01")
+    try:
+        raw.ingest(spark, f"{root}/raw", bronze, "Unknown", "2026-02-02")
+    except FileNotFoundError:
+        pass
+    stored = tables.open_table(spark, f"{bronze}/reviews", schemas.BRONZE_REVIEWS_TABLE)
+    return audit.bronze_counts(stored)
+
+
+@query
+def silver_empty_batch(spark, sf_dir):
+    """Silver after one batch and a second run for a day without rows."""
+    root = _scratch(spark)
+    for table, rows in ((schemas.BRONZE_REVIEWS_TABLE, b.reviews), (schemas.BRONZE_METADATA_TABLE, b.metadata)):
+        tables.write_partitions(rows(spark, sf_dir), f"{medallion.bronze_path(root)}/{table.name}", table.partition_by)
+    medallion.run_silver(spark, root)
+    medallion.run_silver(spark, root, ingestion_date="2030-01-01")
+    return audit.silver_counts(tables.read_slice(spark, medallion.silver_path(root), schemas.SILVER_TABLE))
+
+
+@query
+def sink_small_output(spark, sf_dir):
+    """Files per folder of a little output, compacted on writing: at most two."""
+    path, rows = _scratch(spark), b.metadata(spark, sf_dir).repartition(16)
+    tables.write_partitions(tables.compact_output(rows, ["ingestion_date"]), path, ["ingestion_date"])
+    files = spark.read.parquet(path).select("ingestion_date", F.col("_metadata.file_path").alias("file")).distinct()
+    return files.groupBy("ingestion_date").agg((F.count("*") <= 2).alias("few_files"))
+
+
 @query
 def silver_build(spark, sf_dir):
     return _comparable(b.silver(spark, sf_dir))
@@ -298,10 +351,35 @@ def gold_upsert(spark, sf_dir):
 
 @query
 def gold_schema_evolution(spark, sf_dir):
+    """Three batches into the same folders: without the star counts, with them and a column that is
+    not declared, and without that column again."""
     path, trends = _scratch(spark), b.category_trends(spark, sf_dir)
-    table = schemas.CATEGORY_TRENDS_TABLE
+    table, weekday = schemas.CATEGORY_TRENDS_TABLE, F.dayofweek("review_date")
     upsert.upsert_table(spark, trends.drop(*bi.STARS), path, table)
-    upsert.upsert_table(spark, gold.restrict(trends, "1998-05-01"), path, table, evolve=True)
+    upsert.upsert_table(spark, gold.restrict(trends, "1998-05-01").where(weekday < 5)
+                        .withColumn("bar", F.col("daily_review_count") * 2), path, table, evolve=True)
+    upsert.upsert_table(spark, gold.restrict(trends, "1998-05-01").where(weekday == 5), path, table, evolve=True)
+    return tables.open_evolved(spark, path, table).drop(table.bucket)
+
+
+@query
+def upsert_after_crash(spark, sf_dir):
+    """The second of two batches dies after its rows are staged; the next run finishes it."""
+    path, trends = _scratch(spark), b.category_trends(spark, sf_dir)
+    table, move = schemas.CATEGORY_TRENDS_TABLE, storage.move
+    upsert.upsert_table(spark, gold.restrict(trends, None, "1999-12-31"), path, table)
+
+    def dying(*_):
+        raise RuntimeError("died")
+
+    storage.move = dying
+    try:
+        upsert.upsert_table(spark, gold.restrict(trends, "1999-06-01"), path, table)
+    except RuntimeError:
+        pass
+    finally:
+        storage.move = move
+    upsert.upsert_table(spark, gold.restrict(trends, "2000-01-01", "2000-01-31"), path, table)
     return tables.read_slice(spark, path, table)
 
 
@@ -344,10 +422,9 @@ def gold_incremental_lookback(spark, sf_dir):
     root = _scratch(spark)
     upsert.upsert_table(spark, b.silver(spark, sf_dir), medallion.silver_path(root),
                         schemas.SILVER_TABLE)
-    medallion.run_gold(spark, root, category="ECONOMY", ingestion_date="2026-01-04",
-                       history="lookback")
-    table = schemas.VERIFIED_IMPACT_TABLE
-    return tables.read_slice(spark, medallion.gold_path(root, table), table)
+    medallion.run_gold(spark, root, ingestion_date="2026-01-04", history="lookback")
+    table = schemas.PRODUCT_METRICS_TABLE
+    return _rounded(tables.read_slice(spark, medallion.gold_path(root, table), table), "avg_price")
 
 
 # --- business questions ---------------------------------------------------------------------
@@ -586,7 +663,7 @@ def _damaged_lines(spark, sf_dir):
 @query
 def audit_raw(spark, sf_dir):
     path = _scratch(spark)
-    write_lines(_damaged_lines(spark, sf_dir), path, "reviews", b.raw_shards(spark, sf_dir))
+    write_lines(_damaged_lines(spark, sf_dir), path, "reviews", b.RAW_SHARDS)
     return audit.raw_counts(spark, path)
 
 
@@ -608,7 +685,7 @@ def audit_gold(spark, sf_dir):
 @query
 def audit_dropoff(spark, sf_dir):
     path = _scratch(spark)
-    write_lines(_damaged_lines(spark, sf_dir), path, "reviews", b.raw_shards(spark, sf_dir))
+    write_lines(_damaged_lines(spark, sf_dir), path, "reviews", b.RAW_SHARDS)
     bronze = raw.with_batch(raw.with_category_from_path(
         raw.read_jsonl_tree(spark, path, schemas.REVIEW_RAW), "reviews"), None, "2026-02-01")
     silver = b.built(spark, sf_dir, bronze)
@@ -617,13 +694,20 @@ def audit_dropoff(spark, sf_dir):
 
 @query
 def medallion_end_to_end(spark, sf_dir):
-    """Raw files of everything to Gold: ingest, Silver, checks, Gold."""
-    root, shards = _scratch(spark), b.raw_shards(spark, sf_dir)
-    write_lines(json_lines(b.reviews(spark, sf_dir), b.RAW_REVIEW_COLUMNS), f"{root}/raw", "reviews",
-                shards)
-    write_lines(json_lines(b.newest_metadata(spark, sf_dir), b.RAW_METADATA_COLUMNS),
-                f"{root}/raw", "metadata", shards, "meta_")
-    medallion.run(spark, f"{root}/raw", f"{root}/tables", ingestion_date="2026-02-01")
+    """Two deliveries of raw files to Gold: the first through all steps, then both together. Both
+    hold metadata of every product; the newer one counts."""
+    root = _scratch(spark)
+    tables_root = f"{root}/tables"
+    for day, test in (("2026-02-01", "<="), ("2026-02-02", ">")):
+        reviews = b.reviews(spark, sf_dir).where(f"ingestion_date {test} date'2026-01-02'")
+        metadata = b.metadata(spark, sf_dir).where(f"ingestion_date {test} date'2026-01-01'")
+        write_lines(json_lines(reviews, b.RAW_REVIEW_COLUMNS), f"{root}/{day}", "reviews", b.RAW_SHARDS)
+        write_lines(json_lines(metadata, b.RAW_METADATA_COLUMNS), f"{root}/{day}", "metadata",
+                    b.RAW_SHARDS, "meta_")
+    medallion.run(spark, f"{root}/2026-02-01", tables_root, ingestion_date="2026-02-01")
+    raw.ingest(spark, f"{root}/2026-02-02", medallion.bronze_path(tables_root), None, "2026-02-02")
+    medallion.run_silver(spark, tables_root)
+    medallion.run_gold(spark, tables_root)
     table = schemas.PRODUCT_METRICS_TABLE
-    metrics = tables.read_slice(spark, medallion.gold_path(f"{root}/tables", table), table)
+    metrics = tables.read_slice(spark, medallion.gold_path(tables_root, table), table)
     return _rounded(metrics, "avg_price")
