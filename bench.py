@@ -26,8 +26,6 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("bench")
              .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
              .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
-             # Little data on one machine: smaller pieces keep all cores writing.
-             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())

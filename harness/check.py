@@ -22,7 +22,6 @@ TYPES = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT", "int": "IN
 def session(cores: str = "8") -> SparkSession:
     spark = (SparkSession.builder.master(f"local[{cores}]").appName("ratings_engine")
              .config("spark.sql.shuffle.partitions", "8")
-             .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
              .config("spark.driver.memory", os.environ.get("CHECK_MEMORY", "8g"))
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false").getOrCreate())

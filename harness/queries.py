@@ -411,7 +411,7 @@ def gold_incremental(spark, sf_dir):
     """Two refreshes with full history equal one build of everything."""
     root = _scratch(spark)
     for ingestion_date in _silver_batches(spark, sf_dir, root):
-        medallion.run_gold(spark, root, ingestion_date=ingestion_date, history="full")
+        medallion.run_gold(spark, root, ingestion_date=ingestion_date, skip_compact=True)
     table = schemas.PRODUCT_METRICS_TABLE
     return _rounded(tables.read_slice(spark, medallion.gold_path(root, table), table), "avg_price")
 
@@ -422,7 +422,7 @@ def gold_incremental_lookback(spark, sf_dir):
     root = _scratch(spark)
     upsert.upsert_table(spark, b.silver(spark, sf_dir), medallion.silver_path(root),
                         schemas.SILVER_TABLE)
-    medallion.run_gold(spark, root, ingestion_date="2026-01-04", history="lookback")
+    medallion.run_gold(spark, root, ingestion_date="2026-01-04", skip_compact=True, history="lookback")
     table = schemas.PRODUCT_METRICS_TABLE
     return _rounded(tables.read_slice(spark, medallion.gold_path(root, table), table), "avg_price")
 
@@ -704,10 +704,10 @@ def medallion_end_to_end(spark, sf_dir):
         write_lines(json_lines(reviews, b.RAW_REVIEW_COLUMNS), f"{root}/{day}", "reviews", b.RAW_SHARDS)
         write_lines(json_lines(metadata, b.RAW_METADATA_COLUMNS), f"{root}/{day}", "metadata",
                     b.RAW_SHARDS, "meta_")
-    medallion.run(spark, f"{root}/2026-02-01", tables_root, ingestion_date="2026-02-01")
+    medallion.run(spark, f"{root}/2026-02-01", tables_root, ingestion_date="2026-02-01", skip_compact=True)
     raw.ingest(spark, f"{root}/2026-02-02", medallion.bronze_path(tables_root), None, "2026-02-02")
     medallion.run_silver(spark, tables_root)
-    medallion.run_gold(spark, tables_root)
+    medallion.run_gold(spark, tables_root, skip_compact=True)
     table = schemas.PRODUCT_METRICS_TABLE
     metrics = tables.read_slice(spark, medallion.gold_path(tables_root, table), table)
     return _rounded(metrics, "avg_price")

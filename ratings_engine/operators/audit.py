@@ -16,12 +16,16 @@ def _by_category(df: DataFrame, *keys: str, count: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)).orderBy(F.desc(count), *keys)
 
 
-def raw_counts(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Lines per category in the raw review files, blank and malformed ones included."""
+def raw_counts(spark: SparkSession, raw_root: str, one: str | None = None) -> DataFrame:
+    """Lines per category (or of one) in the raw review files, blank and malformed ones included;
+    no rows where there are no raw files."""
+    if not storage.exists(spark, f"{raw_root}/reviews"):
+        return spark.createDataFrame([], "category string, count long")
     lines = (spark.read.option("recursiveFileLookup", True)
              .option("pathGlobFilter", raw.RAW_GLOB).text(f"{raw_root}/reviews"))
     category = F.regexp_extract(F.col("_metadata.file_path"), FILE_CATEGORY_PATTERN, 1)
-    return _by_category(lines.select(category.alias("category")), "category")
+    counts = _by_category(lines.select(category.alias("category")), "category")
+    return counts if one is None else counts.where(F.col("category") == one)
 
 
 def rejected_counts(spark: SparkSession, raw_root: str) -> DataFrame:
@@ -44,6 +48,18 @@ def bronze_counts(bronze: DataFrame) -> DataFrame:
     return _by_category(bronze, "category", "ingestion_date")
 
 
+def stored_counts(spark: SparkSession, root: str, category: str | None = None) -> DataFrame:
+    """(layer, count) of the stored Bronze reviews and Silver; a layer that does not exist has 0."""
+    counts = None
+    for layer, path, table in (("bronze", f"{root}/bronze/reviews", schemas.BRONZE_REVIEWS_TABLE),
+                               ("silver", f"{root}/silver/{schemas.SILVER_TABLE.name}", schemas.SILVER_TABLE)):
+        rows = (tables.read_slice(spark, path, table, category) if storage.exists(spark, path)
+                else spark.createDataFrame([], table.schema))
+        one = rows.agg(F.count(F.lit(1)).alias("count")).select(F.lit(layer).alias("layer"), "count")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 def silver_counts(silver: DataFrame) -> DataFrame:
     """Rows per category."""
     return _by_category(silver, "category")
