@@ -243,8 +243,10 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         np.savez(out, languages=np.array(model.languages, "U"), **{f"w{k}": w for k, w in enumerate(model.weights)})
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]})
 
-    (saved,) = sample.repartition(1).sortWithinPartitions("id", "lang").mapInArrow(trained, "model binary").first()
-    parts = np.load(io.BytesIO(bytes(saved)))
+    saved = sample.repartition(1).sortWithinPartitions("id", "lang").mapInArrow(trained, "model binary").first()
+    if saved is None:
+        return train(pa.array([], pa.string()), [])
+    parts = np.load(io.BytesIO(bytes(saved[0])))
     return Model(parts["languages"].tolist(), [parts[f"w{k}"] for k in range(6)])
 
 

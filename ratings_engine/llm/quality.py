@@ -186,9 +186,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
 
     # A fixed order of rows, so that the same sample gives the same model.
     rows = sample.mapInArrow(featured, "id bigint, label int, places array<int>")
-    (saved,) = (rows.repartition(1).sortWithinPartitions("id", "label")
-                .mapInArrow(fitted, "model binary").first())
-    parts = np.load(io.BytesIO(bytes(saved)))
+    saved = (rows.repartition(1).sortWithinPartitions("id", "label")
+             .mapInArrow(fitted, "model binary").first())
+    if saved is None:
+        return fit_rows([], np.zeros(0, np.int64))
+    parts = np.load(io.BytesIO(bytes(saved[0])))
     bias, slope, shift = parts["rest"]
     return Model(parts["ratio"], parts["weight"], float(bias), (float(slope), float(shift)))
 
