@@ -28,7 +28,7 @@ from ratings_engine.llm.text import mix, shingle_sets
 SKETCH = 1 << 20
 #: Shingles shared by more classes than this are compared in blocks.
 FEW = 40
-BLOCK = 256
+BLOCK = 1024
 #: Bits of the filter that lets candidates' texts through when their sets are read (2 MB).
 FILTER_BITS = 1 << 24
 
@@ -150,7 +150,12 @@ def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classe
     groups = classes.groupBy("group").agg(F.count("*").cast("int").alias("members"),
                                           F.first("n_shingles").cast("int").alias("n"), F.first("prefix").alias("prefix"))
     postings = groups.select("group", "n", "members", F.posexplode("prefix").alias("place", "shingle"))
-    weight = postings.groupBy("shingle").agg(F.sum("members").alias("weight")).where("weight > 1")
+    # Shingles found in the same groups give the same pairs: the first of them in order stands for all,
+    # known by weight and two checksums of the groups.
+    weight = (postings.groupBy("shingle").agg(
+        F.sum("members").alias("weight"), F.min("place").alias("first"), F.bit_xor(F.xxhash64("group")).alias("c"),
+        F.bit_xor(F.xxhash64("group", F.lit("d"))).alias("d")).where("weight > 1")
+        .groupBy("weight", "c", "d").agg(F.min_by("shingle", "first").alias("shingle")).select("shingle", "weight"))
     postings = staged(postings.join(weight, "shingle"), "postings")
     member = classes.select("group", "class", "id")
 
