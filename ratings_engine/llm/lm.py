@@ -72,8 +72,7 @@ def grams(words: np.ndarray, text: np.ndarray, order: int) -> list[np.ndarray]:
         earlier = np.concatenate([np.full(n - 1, START, np.uint64), words[:-(n - 1)]])[:len(words)]
         earlier = np.where(place >= n - 1, earlier, START)
         history = mix(history * _PRIME + earlier)
-        # The order in the low bits keeps n-grams of different length apart.
-        out.append(((history & low) << np.uint64(64 - GRAM_BITS)) | np.uint64(n))
+        out.append(history & low)
     return out
 
 
@@ -92,18 +91,27 @@ def _unpack(packed: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _width(order: int, ranges: int) -> int:
+    """Numbers in each of the ranges that the keys of an order are dealt to."""
+    return (1 << (64 if order == 1 else GRAM_BITS)) // ranges + 1
+
+
 class Keyed:
-    """The n-grams of some texts as places in one sorted array of distinct keys.
+    """The n-grams of some texts as places in sorted arrays of distinct keys, one per order, which
+    count as one array after the other.
 
     at[n] holds the place of the n+1-gram that ends at each token, before[n] that of the n+1-gram that
-    ends at the token before it (at a text's begin, of the start mark)."""
+    ends at the token before it (at a text's begin, of the start mark, which is among the words)."""
 
     def __init__(self, texts: pa.Array, order: int):
         words, self.text = tokens(texts)
-        parts = [np.unique(g, return_inverse=True) for g in grams(words, self.text, order)]
-        self.keys, where = np.unique(np.concatenate([*(p[0] for p in parts), [START]]), return_inverse=True)
-        self.start, cuts = where[-1], np.cumsum([0] + [len(p[0]) for p in parts])
-        self.at = [where[low:high][inverse].astype(np.int32) for low, high, (_, inverse) in zip(cuts, cuts[1:], parts)]
+        found = grams(words, self.text, order)
+        parts = [np.unique(np.append(found[0], START), return_inverse=True)]
+        parts += [np.unique(g, return_inverse=True) for g in found[1:]]
+        self.keys = [p[0] for p in parts]
+        self.offsets = np.cumsum([0, *map(len, self.keys)])
+        self.size, self.start = int(self.offsets[-1]), int(parts[0][1][-1])
+        self.at = [(low + p[1][:len(words)]).astype(np.int32) for low, p in zip(self.offsets, parts)]
         first = np.ones(len(words), bool)
         first[1:] = self.text[1:] != self.text[:-1]
         self.before = [np.where(first, self.start, np.roll(at, 1)) for at in self.at[:-1]]
@@ -111,10 +119,18 @@ class Keyed:
     def counts(self, training: np.ndarray) -> np.ndarray:
         """How often each key occurs in the texts to learn from."""
         learn = training[self.text]
-        counts = sum(np.bincount(at[learn], minlength=len(self.keys)) for at in self.at)
+        counts = sum(np.bincount(at[learn], minlength=self.size) for at in self.at)
         counts[self.start] += int(training.sum())
         return counts
 
+    def ranges(self, number: int) -> list[list[tuple[int, int]]]:
+        """Per range of keys and order the places (from, to) of the keys in it."""
+        cuts = []
+        for n, keys in enumerate(self.keys):
+            part = keys // np.uint64(_width(n + 1, number))
+            cuts.append(self.offsets[n] + np.searchsorted(part, np.arange(number + 1, dtype=np.uint64)))
+        return [[(int(c[p]), int(c[p + 1])) for c in cuts] for p in range(number)]
+
 
 def _blocked(docs: DataFrame, text: str, carried: list[str], training: Column, rows: int) -> tuple[DataFrame, object]:
     """(block, packed): runs of rows of each task as compressed Arrow data, and the type of a row.
@@ -155,39 +171,44 @@ def _from_bytes(packed: bytes) -> pa.Table:
 
 
 def _requests(blocked: DataFrame, ranges: int, order: int) -> DataFrame:
-    width = (1 << 64) // ranges + 1
-
     def ask(table: pa.Table) -> pa.Table:
         rows = _from_bytes(table.column("packed")[0].as_py())
         block = Keyed(rows.column("text").combine_chunks(), order)
-        keys, counts = block.keys, block.counts(rows.column("training").to_numpy())
-        part = (keys // np.uint64(width)).astype(np.int64)
-        cuts = np.searchsorted(part, np.arange(ranges + 1))
-        rows = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-        block = table.column("block")[0].as_py()
-        return pa.table({
-            "block": pa.array([block] * len(rows), pa.int64()), "part": pa.array([r[0] for r in rows], pa.int64()),
-            "keys": pa.array([_pack(np.diff(keys[a:b], prepend=np.uint64(p * width)))
-                              for p, a, b in rows], pa.binary()),
-            "counts": pa.array([zlib.compress(_pack(counts[a:b]), 1) for _, a, b in rows], pa.binary())})
-
-    return blocked.groupBy("block").applyInArrow(ask, "block bigint, part bigint, keys binary, counts binary")
+        counts = block.counts(rows.column("training").to_numpy())
+        parts, keys, own = [], [], []
+        for p, spans in enumerate(block.ranges(ranges)):
+            if all(a == b for a, b in spans):
+                continue
+            parts.append(p)
+            keys.append([_pack(np.diff(block.keys[n][a - block.offsets[n]:b - block.offsets[n]],
+                                       prepend=np.uint64(p * _width(n + 1, ranges)))) for n, (a, b) in enumerate(spans)])
+            own.append(zlib.compress(_pack(np.concatenate([counts[a:b] for a, b in spans])), 1))
+        block_ = [table.column("block")[0].as_py()] * len(parts)
+        return pa.table({"block": pa.array(block_, pa.int64()), "part": pa.array(parts, pa.int64()),
+                         "keys": pa.array(keys, pa.list_(pa.binary())), "counts": pa.array(own, pa.binary())})
+
+    return blocked.groupBy("block").applyInArrow(ask, "block bigint, part bigint, keys array<binary>, counts binary")
 
 
 def _answers(requests: DataFrame, ranges: int) -> DataFrame:
-    """Total counts in the order of each request; per range also its tokens and vocabulary."""
-    width = (1 << 64) // ranges + 1
+    """Total counts in the order of each request."""
 
     def add(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        keys = [np.cumsum(_unpack(k.as_py())) + np.uint64(part * width) for k in table.column("keys")]
         counts = [_unpack(zlib.decompress(c.as_py())) for c in table.column("counts")]
-        distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.uint64)
-        cuts = np.cumsum([0, *map(len, keys)])
+        asked = [[_unpack(k) for k in row] for row in table.column("keys").to_pylist()]
+        totals, done = [[] for _ in asked], [0] * len(asked)
+        for n in range(len(asked[0])):
+            keys = [np.cumsum(row[n]) + np.uint64(part * _width(n + 1, ranges)) for row in asked]
+            own = [counts[k][done[k]:done[k] + len(x)] for k, x in enumerate(keys)]
+            distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.bincount(inverse, np.concatenate(own), len(distinct)).astype(np.uint64)
+            cut = np.cumsum([0, *map(len, keys)])
+            for k, x in enumerate(keys):
+                totals[k].append(total[inverse[cut[k]:cut[k + 1]]])
+                done[k] += len(x)
         return pa.table({"block": table.column("block"), "part": table.column("part"),
-                         "totals": pa.array([zlib.compress(_pack(totals[inverse[a:b]]), 1)
-                                             for a, b in zip(cuts, cuts[1:])], pa.binary())})
+                         "totals": pa.array([zlib.compress(_pack(np.concatenate(t)), 1) for t in totals], pa.binary())})
 
     return requests.groupBy("part").applyInArrow(add, "block bigint, part bigint, totals binary")
 
@@ -233,20 +254,22 @@ def fit_weights(docs: DataFrame, text: str, training: Column, totals: Totals, or
         return learn_weights(np.zeros(0, np.int64), np.ones((0, order + 1)), order)
     block = Keyed(sample, order)
     # Every key has its bit in a small table, which spares most searches.
-    bits = np.zeros(1 << 24, bool)
-    bits[(block.keys >> np.uint64(40)).astype(np.int64)] = True
-    shared = docs.sparkSession.sparkContext.broadcast((block.keys, bits))
+    high = [np.uint64((64 if n == 0 else GRAM_BITS) - 24) for n in range(order)]
+    bits = [np.zeros(1 << 24, bool) for _ in block.keys]
+    for n, keys in enumerate(block.keys):
+        bits[n][(keys >> high[n]).astype(np.int64)] = True
+    shared = docs.sparkSession.sparkContext.broadcast((block.keys, block.offsets, bits))
 
     def count(counts, column):
-        keys, bit = shared.value
+        known, offsets, bit = shared.value
         for piece in pieces(column):
-            for gram in grams(*tokens(piece), order):
-                gram = gram[bit[(gram >> np.uint64(40)).astype(np.int64)]]
-                at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
-                np.add.at(counts, at[keys[at] == gram], 1)
-        counts[np.searchsorted(keys, START)] += len(column)
+            for n, gram in enumerate(grams(*tokens(piece), order)):
+                gram = gram[bit[n][(gram >> high[n]).astype(np.int64)]]
+                at = np.minimum(np.searchsorted(known[n], gram), len(known[n]) - 1)
+                np.add.at(counts, offsets[n] + at[known[n][at] == gram], 1)
+        counts[np.searchsorted(known[0], START)] += len(column)
 
-    counts = summed(rows.where(~F.col("aside")).select("text"), np.zeros(len(block.keys), np.int64), count)
+    counts = summed(rows.where(~F.col("aside")).select("text"), np.zeros(block.size, np.int64), count)
     bucket, probabilities = _probabilities(block, counts.astype(np.float64), totals)
     return learn_weights(bucket, probabilities, order)
 
@@ -286,8 +309,11 @@ def score(docs: DataFrame, training: Column, text: str = "text", order: int = OR
         texts = _from_bytes(packed.column("packed")[0].as_py())
         block = Keyed(texts.column("text").combine_chunks(), order)
         text_ = block.text
-        parts = sorted(zip(answered.column("part").to_pylist(), answered.column("totals").to_pylist(), strict=True))
-        counts = np.concatenate([_unpack(zlib.decompress(x)) for _, x in parts]).astype(np.float64)
+        counts, spans = np.zeros(block.size), block.ranges(ranges)
+        for p, packed_ in zip(answered.column("part").to_pylist(), answered.column("totals").to_pylist(), strict=True):
+            found = _unpack(zlib.decompress(packed_))
+            for a, b in spans[p]:
+                counts[a:b], found = found[:b - a], found[b - a:]
         n = len(texts)
         seen = counts[block.at[0]]
         base = np.log10((seen + 0.5) / (totals.tokens + 0.5 * (totals.vocabulary + 1)))
