@@ -10,7 +10,7 @@ from tests.builders import bronze_metadata, bronze_reviews, silver
 from ratings_engine import schemas
 from ratings_engine.operators import bi, gold
 from ratings_engine.operators.bundle import review_bundle
-from ratings_engine.operators.silver import build_silver, dedup_latest, newest_first
+from ratings_engine.operators.silver import build_silver, dedup_latest, enrich, newest_first
 from ratings_engine.operators.upsert import upsert_table
 from ratings_engine.sources import storage, tables
 
@@ -74,19 +74,42 @@ def test_small_metadata_is_broadcast_and_reviews_are_shuffled_once(spark):
     assert count(lines, "Exchange") == 2
 
 
-def test_large_metadata_is_joined_with_salt(spark, piece):
+def test_a_hot_product_is_split_when_metadata_is_large(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.shuffle.partitions": "8",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {name: spark.conf.get(name) for name in settings if spark.conf.get(name, None) is not None}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise("hot")
+        reviews = spark.range(0, 20000, 1, 8).select(hot.alias("parent_asin"), F.lit("C").alias("category"),
+                                                     F.sha2(F.col("id").cast("string"), 512).alias("text"))
+        products = spark.range(0, 20000, 3).select(F.col("id").cast("string").alias("parent_asin"),
+                                                   F.lit("C").alias("category"), F.lit(1.0).alias("price"))
+        joined = enrich(reviews, products)
+        assert len(joined.collect()) == 20000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            if name in before:
+                spark.conf.set(name, before[name])
+            else:
+                spark.conf.unset(name)
+
+
+def test_bundles_rank_before_they_join(spark, piece):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        lines = plan(build_silver(bronze_reviews(spark, {}), bronze_metadata(spark, {})))
         bundle = plan(review_bundle(piece, piece))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    join = next(line for line in lines if line.startswith("SortMergeJoin"))
-    assert "_salt" in join
-    assert any(line.startswith("SortMergeJoin") and "_salt" in line for line in bundle)
     # Excerpts are made below the shuffles.
     assert not any(line.startswith("Exchange") and "review_text" in line for line in bundle)
+    names = [line.split(" ")[0] for line in bundle]
+    assert "WindowGroupLimit" in names[names.index("SortMergeJoin"):]
 
 
 def test_nothing_is_a_cross_join(piece, spark):
