@@ -1,19 +1,21 @@
 """Deleted interpolation: an n-gram language model whose orders are mixed by context frequency.
 
 P(w | u v) = l3 c(uvw)/c(uv) + l2 c(vw)/c(v) + l1 c(w)/N + l0 / (V + 1), with weights l that depend
-on how often the context was seen (powers of two) and are learned by expectation-maximisation on
-held-out documents, whose own counts are left out.
+on how often the context was seen (powers of two) and are learned by expectation-maximisation on a
+tenth of the training documents, with the counts of all other training documents.
 
 Counts grow with the corpus and are never gathered: documents are dealt to blocks; every block sends
 each range of hashed n-grams the n-grams it holds with its own counts, as packed sorted rows; a range
 adds up what the blocks sent and answers each block in the order of its request; the block then
-scores its documents. A text travels once, an n-gram once per block.
+scores its documents. A text travels once, an n-gram once per block. The tokens set aside stay in
+their blocks as well: a round of expectation-maximisation is an aggregate over them.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratings_engine.llm.common import summed
+from ratings_engine.llm.common import staged
 from ratings_engine.llm.text import mix, pieces, raw, word_bounds, word_hashes
 
 ORDER = 3
@@ -31,8 +33,8 @@ BLOCK_ROWS = 2000
 RANGES_PER_BLOCK = 1.5
 #: n-grams of two words and more are known by so many bits, words by all 64.
 GRAM_BITS = 48
-#: Held-out documents for the mixture weights.
-HELD_OUT = 1000
+#: One in so many training documents is set aside to learn the mixture weights.
+SHARE = 10
 BUCKETS = 12
 ROUNDS = 40
 END = np.uint64(0xE7D0E7D0E7D0E7D1)
@@ -46,6 +48,8 @@ class Totals:
 
     tokens: int
     vocabulary: int
+    #: Tokens of the training documents set aside.
+    aside: int = 0
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -132,12 +136,19 @@ class Keyed:
         return [[(int(c[p]), int(c[p + 1])) for c in cuts] for p in range(number)]
 
 
-def _blocked(docs: DataFrame, text: str, carried: list[str], training: Column, rows: int) -> tuple[DataFrame, object]:
-    """(block, packed): runs of rows of each task as compressed Arrow data, and the type of a row.
+def _narrow(docs: DataFrame, text: str, carried: list[str], training: Column) -> DataFrame:
+    """(text, training, aside, row). Every pass reads these columns whole, so that all see the same order."""
+    learn = F.coalesce(training, F.lit(False))
+    # A row's place in the scan, not its content, decides: copies of one text are not all set aside.
+    aside = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SHARE)) == 0
+    return docs.select(F.col(text).alias("text"), learn.alias("training"), (learn & aside).alias("aside"),
+                       F.struct(F.lit(0).alias("no column"), *carried).alias("row"))
+
+
+def _blocked(narrow: DataFrame, rows: int, make, schema: str) -> DataFrame:
+    """What make(name, table) gives for runs of rows of each task.
 
     A block is named by task and run, so a task that runs again on a scan makes the same blocks."""
-    narrow = docs.select(F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"),
-                         F.struct(F.lit(0).alias("no column"), *carried).alias("row"))
 
     def pack(batches):
         task, number, waiting = TaskContext.get().partitionId(), 0, []
@@ -146,17 +157,21 @@ def _blocked(docs: DataFrame, text: str, carried: list[str], training: Column, r
             nonlocal number, waiting
             table = pa.Table.from_batches(waiting)
             number, waiting = number + 1, []
-            return pa.RecordBatch.from_pydict({"block": [task << 32 | number], "packed": [_to_bytes(table)]})
+            return make(task << 32 | number, table).to_batches()
 
         for batch in batches:
             for low in range(0, len(batch), rows):
                 waiting.append(batch.slice(low, rows))
                 if sum(map(len, waiting)) >= rows:
-                    yield block()
+                    yield from block()
         if waiting:
-            yield block()
+            yield from block()
+
+    return narrow.mapInArrow(pack, schema)
 
-    return narrow.mapInArrow(pack, "block bigint, packed binary"), narrow.schema["row"]
+
+def _packed(name: int, table: pa.Table) -> pa.Table:
+    return pa.table({"block": pa.array([name], pa.int64()), "packed": pa.array([_to_bytes(table)], pa.binary())})
 
 
 def _to_bytes(table: pa.Table) -> bytes:
@@ -170,53 +185,70 @@ def _from_bytes(packed: bytes) -> pa.Table:
     return pa.ipc.open_stream(packed).read_all()
 
 
-def _requests(blocked: DataFrame, ranges: int, order: int) -> DataFrame:
-    def ask(table: pa.Table) -> pa.Table:
-        rows = _from_bytes(table.column("packed")[0].as_py())
-        block = Keyed(rows.column("text").combine_chunks(), order)
-        counts = block.counts(rows.column("training").to_numpy())
-        parts, keys, own = [], [], []
+def _requests(narrow: DataFrame, rows: int, ranges: int, order: int) -> DataFrame:
+    def ask(name: int, table: pa.Table) -> pa.Table:
+        block = Keyed(table.column("text").combine_chunks(), order)
+        counts = block.counts(table.column("training").to_numpy())
+        asides = block.counts(table.column("aside").to_numpy())
+        parts, keys, own, aside = [], [], [], []
         for p, spans in enumerate(block.ranges(ranges)):
             if all(a == b for a, b in spans):
                 continue
             parts.append(p)
             keys.append([_pack(np.diff(block.keys[n][a - block.offsets[n]:b - block.offsets[n]],
                                        prepend=np.uint64(p * _width(n + 1, ranges)))) for n, (a, b) in enumerate(spans)])
-            own.append(zlib.compress(_pack(np.concatenate([counts[a:b] for a, b in spans])), 1))
-        block_ = [table.column("block")[0].as_py()] * len(parts)
-        return pa.table({"block": pa.array(block_, pa.int64()), "part": pa.array(parts, pa.int64()),
-                         "keys": pa.array(keys, pa.list_(pa.binary())), "counts": pa.array(own, pa.binary())})
+            for out, numbers in ((own, counts), (aside, asides)):
+                out.append(zlib.compress(_pack(np.concatenate([numbers[a:b] for a, b in spans])), 1))
+        return pa.table({"block": pa.array([name] * len(parts), pa.int64()), "part": pa.array(parts, pa.int64()),
+                         "keys": pa.array(keys, pa.list_(pa.binary())), "counts": pa.array(own, pa.binary()),
+                         "aside": pa.array(aside, pa.binary())})
 
-    return blocked.groupBy("block").applyInArrow(ask, "block bigint, part bigint, keys array<binary>, counts binary")
+    return _blocked(narrow, rows, ask, "block bigint, part bigint, keys array<binary>, counts binary, aside binary")
 
 
 def _answers(requests: DataFrame, ranges: int) -> DataFrame:
-    """Total counts in the order of each request."""
+    """Total counts in the order of each request, and others: counts without the documents set aside,
+    of those keys that the block holds in such documents (null: none)."""
 
     def add(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        counts = [_unpack(zlib.decompress(c.as_py())) for c in table.column("counts")]
+        counts, asides = ([_unpack(zlib.decompress(c.as_py())) for c in table.column(name)] for name in ("counts", "aside"))
         asked = [[_unpack(k) for k in row] for row in table.column("keys").to_pylist()]
-        totals, done = [[] for _ in asked], [0] * len(asked)
+        totals, others, done = [[] for _ in asked], [[] for _ in asked], [0] * len(asked)
         for n in range(len(asked[0])):
             keys = [np.cumsum(row[n]) + np.uint64(part * _width(n + 1, ranges)) for row in asked]
-            own = [counts[k][done[k]:done[k] + len(x)] for k, x in enumerate(keys)]
+            own, aside = ([c[k][done[k]:done[k] + len(x)] for k, x in enumerate(keys)] for c in (counts, asides))
             distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.bincount(inverse, np.concatenate(own), len(distinct)).astype(np.uint64)
+            total, left = (np.bincount(inverse, np.concatenate(c), len(distinct)).astype(np.uint64) for c in (own, aside))
+            left = total - left
             cut = np.cumsum([0, *map(len, keys)])
             for k, x in enumerate(keys):
-                totals[k].append(total[inverse[cut[k]:cut[k + 1]]])
+                at = inverse[cut[k]:cut[k + 1]]
+                totals[k].append(total[at])
+                others[k].append(left[at[aside[k] > 0]])
                 done[k] += len(x)
+        pack = lambda arrays: zlib.compress(_pack(np.concatenate(arrays)), 1)
         return pa.table({"block": table.column("block"), "part": table.column("part"),
-                         "totals": pa.array([zlib.compress(_pack(np.concatenate(t)), 1) for t in totals], pa.binary())})
+                         "totals": pa.array([pack(t) for t in totals], pa.binary()),
+                         "others": pa.array([pack(t) if any(map(len, t)) else None for t in others], pa.binary())})
+
+    return requests.groupBy("part").applyInArrow(add, "block bigint, part bigint, totals binary, others binary")
+
 
-    return requests.groupBy("part").applyInArrow(add, "block bigint, part bigint, totals binary")
+def _answered(block: Keyed, ranges: int, parts: pa.ChunkedArray, packed: pa.ChunkedArray) -> np.ndarray:
+    """The counts of a block's keys from the answers to it."""
+    counts, spans = np.zeros(block.size), block.ranges(ranges)
+    for p, packed_ in zip(parts.to_pylist(), packed.to_pylist(), strict=True):
+        found = _unpack(zlib.decompress(packed_))
+        for a, b in spans[p]:
+            counts[a:b], found = found[:b - a], found[b - a:]
+    return counts
 
 
-def _probabilities(block: Keyed, counts: np.ndarray, totals: Totals):
-    """(bucket, probabilities by order from 0) of each token, given the corpus counts of the keys."""
+def _probabilities(block: Keyed, counts: np.ndarray, tokens: int, vocabulary: int):
+    """(bucket, probabilities by order from 0) of each token, given the counts of the keys among so many tokens."""
     size = len(block.text)
-    by_order = [np.full(size, 1 / (totals.vocabulary + 1)), counts[block.at[0]] / max(totals.tokens, 1)]
+    by_order = [np.full(size, 1 / (vocabulary + 1)), counts[block.at[0]] / max(tokens, 1)]
     # The longest context that was seen decides: its length and how often it was seen.
     bucket = np.zeros(size, np.int64)
     for n, (gram, context) in enumerate(zip(block.at[1:], block.before, strict=True)):
@@ -227,65 +259,85 @@ def _probabilities(block: Keyed, counts: np.ndarray, totals: Totals):
     return bucket, np.stack(by_order, 1)
 
 
-def learn_weights(bucket: np.ndarray, probabilities: np.ndarray, order: int, rounds: int = ROUNDS) -> np.ndarray:
+def expected(weights: np.ndarray, bucket: np.ndarray, probabilities: np.ndarray) -> np.ndarray:
+    """How many tokens each order accounts for, by bucket."""
+    shares = weights[bucket] * probabilities
+    shares /= shares.sum(1, keepdims=True)
+    return np.stack([np.bincount(bucket, shares[:, k], len(weights)) for k in range(weights.shape[1])], 1)
+
+
+def maximised(expect: Callable[[np.ndarray], np.ndarray], order: int, rounds: int = ROUNDS) -> np.ndarray:
     """Mixture weights by bucket. Expectation-maximisation from equal weights; one token's worth of
     equal weights is added, so that a bucket without tokens stays mixed."""
-    size = 1 + BUCKETS * max(order - 1, 1)
-    weights = np.full((size, order + 1), 1 / (order + 1))
+    weights = np.full((1 + BUCKETS * max(order - 1, 1), order + 1), 1 / (order + 1))
     for _ in range(rounds):
-        shares = weights[bucket] * probabilities
-        shares /= shares.sum(1, keepdims=True)
-        total = np.stack([np.bincount(bucket, shares[:, k], size) for k in range(order + 1)], 1) + 1 / (order + 1)
+        total = expect(weights) + 1 / (order + 1)
         weights = total / total.sum(1, keepdims=True)
     return weights
 
 
-def fit_weights(docs: DataFrame, text: str, training: Column, totals: Totals, order: int,
-                held_out: int = HELD_OUT) -> np.ndarray:
-    """Weights from at most about held_out training documents, with the corpus counts of their
-    n-grams taken over all other training documents in one pass that shuffles no text."""
-    share = max(1, docs.count() // held_out)
-    # A row's place in the scan, not its content, decides: copies of one text are not all held out.
-    rows = docs.where(F.coalesce(training, F.lit(False))).select(
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-        (F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(share)) == 0).alias("aside"))
-    sample = rows.where("aside").select("text").toArrow().column("text").combine_chunks()
-    if not len(sample):
-        return learn_weights(np.zeros(0, np.int64), np.ones((0, order + 1)), order)
-    block = Keyed(sample, order)
-    # Every key has its bit in a small table, which spares most searches.
-    high = [np.uint64((64 if n == 0 else GRAM_BITS) - 24) for n in range(order)]
-    bits = [np.zeros(1 << 24, bool) for _ in block.keys]
-    for n, keys in enumerate(block.keys):
-        bits[n][(keys >> high[n]).astype(np.int64)] = True
-    shared = docs.sparkSession.sparkContext.broadcast((block.keys, block.offsets, bits))
-
-    def count(counts, column):
-        known, offsets, bit = shared.value
-        for piece in pieces(column):
-            for n, gram in enumerate(grams(*tokens(piece), order)):
-                gram = gram[bit[n][(gram >> high[n]).astype(np.int64)]]
-                at = np.minimum(np.searchsorted(known[n], gram), len(known[n]) - 1)
-                np.add.at(counts, offsets[n] + at[known[n][at] == gram], 1)
-        counts[np.searchsorted(known[0], START)] += len(column)
-
-    counts = summed(rows.where(~F.col("aside")).select("text"), np.zeros(block.size, np.int64), count)
-    bucket, probabilities = _probabilities(block, counts.astype(np.float64), totals)
-    return learn_weights(bucket, probabilities, order)
-
-
-def totals_of(docs: DataFrame, text: str, training: Column) -> Totals:
+def learn_weights(bucket: np.ndarray, probabilities: np.ndarray, order: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Mixture weights by bucket of tokens at hand."""
+    return maximised(lambda weights: expected(weights, bucket, probabilities), order, rounds)
+
+
+def fit_weights(narrow: DataFrame, answers: DataFrame, totals: Totals, rows: int, ranges: int, order: int) -> np.ndarray:
+    """Weights from all documents set aside, with the counts of their n-grams taken over all other
+    training documents. Tokens stay with the tasks; the driver sees a sum per task, bucket and order."""
+
+    def aside(name: int, table: pa.Table) -> pa.Table:
+        held = table.select(["text"]).filter(table.column("aside"))
+        return _packed(name, held).slice(0, min(len(held), 1))
+
+    def tokens_aside(packed: pa.Table, answered: pa.Table) -> pa.Table:
+        block = Keyed(_from_bytes(packed.column("packed")[0].as_py()).column("text").combine_chunks(), order)
+        counts = _answered(block, ranges, answered.column("part"), answered.column("others"))
+        bucket, probabilities = _probabilities(block, counts, totals.tokens - totals.aside, totals.vocabulary)
+        columns = {"bucket": bucket.astype(np.int16)} | {str(k): probabilities[:, k] for k in range(order + 1)}
+        return pa.table({"packed": pa.array([_to_bytes(pa.table(columns))], pa.binary())})
+
+    known = answers.where("others is not null").select("block", "part", "others")
+    tokens_ = staged(_blocked(narrow, rows, aside, "block bigint, packed binary").groupBy("block")
+                     .cogroup(known.groupBy("block")).applyInArrow(tokens_aside, "packed binary"), "aside")
+
+    def expect(weights: np.ndarray) -> np.ndarray:
+        def add(batches):
+            total = np.zeros(weights.shape)
+            for batch in batches:
+                for packed in batch.column(0):
+                    table = _from_bytes(packed.as_py())
+                    total += expected(weights, table.column("bucket").to_numpy(),
+                                      np.stack([table.column(str(k)).to_numpy() for k in range(order + 1)], 1))
+            yield pa.RecordBatch.from_pydict({"sums": [total.tobytes()]})
+
+        sums = tokens_.mapInArrow(add, "sums binary").collect()
+        return sum((np.frombuffer(bytes(r[0])).reshape(weights.shape) for r in sums), np.zeros(weights.shape))
+
+    return maximised(expect, order)
+
+
+def totals_of(narrow: DataFrame) -> Totals:
     """Tokens and distinct tokens of the training documents: words by hash in a plain aggregate."""
 
     def distinct(batches):
         for batch in batches:
-            keys, counts = np.unique(np.concatenate([tokens(p)[0] for p in pieces(batch.column(0))]
-                                                    or [np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
-
-    rows = docs.where(F.coalesce(training, F.lit(False))).select(text).mapInArrow(distinct, "key bigint, n bigint")
-    found = rows.groupBy("key").agg(F.sum("n").alias("n")).agg(F.count("*"), F.sum("n")).first()
-    return Totals(found[1] or 0, found[0])
+            batch = batch.filter(batch.column("training"))
+            held, words, aside, done = batch.column("aside").to_numpy(zero_copy_only=False), [], 0, 0
+            for piece in pieces(batch.column("text")):
+                found, text = tokens(piece)
+                words.append(found)
+                aside += int(held[done + text].sum())
+                done += len(piece)
+            keys, counts = np.unique(np.concatenate(words or [np.zeros(0, np.uint64)]), return_counts=True)
+            asides = np.zeros(len(keys), np.int64)
+            asides[:1] = aside
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts), pa.array(asides)],
+                                             ["key", "n", "aside"])
+
+    rows = narrow.mapInArrow(distinct, "key bigint, n bigint, aside bigint")
+    found = (rows.groupBy("key").agg(F.sum("n").alias("n"), F.sum("aside").alias("aside"))
+             .agg(F.count("*"), F.sum("n"), F.sum("aside")).first())
+    return Totals(found[1] or 0, found[0], found[2] or 0)
 
 
 def score(docs: DataFrame, training: Column, text: str = "text", order: int = ORDER,
@@ -299,25 +351,23 @@ def score(docs: DataFrame, training: Column, text: str = "text", order: int = OR
     results = ("n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     names = [part.split()[0] for part in results.split(", ")]
     carried = [c for c in docs.columns if c not in (text, *names)]
-    totals = totals_of(docs, text, training)
-    weights = fit_weights(docs, text, training, totals, order)
-    blocked, row_type = _blocked(docs, text, carried, training, block_rows)
+    narrow = _narrow(docs, text, carried, training)
+    totals = totals_of(narrow)
     ranges = max(2, math.ceil(docs.count() / block_rows * RANGES_PER_BLOCK))
-    answers = _answers(_requests(blocked, ranges, order), ranges)
+    answers = staged(_answers(_requests(narrow, block_rows, ranges, order), ranges), "answers")
+    weights = fit_weights(narrow, answers, totals, block_rows, ranges, order)
+    blocked = _blocked(narrow, block_rows, lambda name, table: _packed(name, table.select(["text", "row"])),
+                       "block bigint, packed binary")
 
     def judge(packed: pa.Table, answered: pa.Table) -> pa.Table:
         texts = _from_bytes(packed.column("packed")[0].as_py())
         block = Keyed(texts.column("text").combine_chunks(), order)
         text_ = block.text
-        counts, spans = np.zeros(block.size), block.ranges(ranges)
-        for p, packed_ in zip(answered.column("part").to_pylist(), answered.column("totals").to_pylist(), strict=True):
-            found = _unpack(zlib.decompress(packed_))
-            for a, b in spans[p]:
-                counts[a:b], found = found[:b - a], found[b - a:]
+        counts = _answered(block, ranges, answered.column("part"), answered.column("totals"))
         n = len(texts)
         seen = counts[block.at[0]]
         base = np.log10((seen + 0.5) / (totals.tokens + 0.5 * (totals.vocabulary + 1)))
-        bucket, probabilities = _probabilities(block, counts, totals)
+        bucket, probabilities = _probabilities(block, counts, totals.tokens, totals.vocabulary)
         mixed = np.log10((weights[bucket] * probabilities).sum(1))
         return pa.table({
             "row": texts.column("row"),
@@ -326,6 +376,6 @@ def score(docs: DataFrame, training: Column, text: str = "text", order: int = OR
             "train_tokens": pa.array(np.full(n, totals.tokens), pa.int64()),
             "base_score": np.bincount(text_, base, n), "score": np.bincount(text_, mixed, n)})
 
-    schema = StructType([row_type, *StructType.fromDDL(results).fields])
-    return (blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, schema)
+    schema = StructType([narrow.schema["row"], *StructType.fromDDL(results).fields])
+    return (blocked.groupBy("block").cogroup(answers.select("block", "part", "totals").groupBy("block")).applyInArrow(judge, schema)
             .select("row.*", *names).drop("no column"))

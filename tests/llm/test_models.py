@@ -150,3 +150,52 @@ def test_language_model_without_rows(none, awkward):
     assert lm.score(none, F.lit(True)).count() == 0
     rows = lm.score(awkward, F.lit(None).cast("boolean")).collect()
     assert {r.train_tokens for r in rows} == {0} and all(r.n_known == 0 for r in rows)
+
+
+def test_mixture_against_brute_force(spark):
+    rng = random.Random(12)
+    phrases = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(9)) for _ in range(rng.randint(2, 5))) for _ in range(25)]
+    rows = [(i, " ".join(rng.choice(phrases) for _ in range(rng.randint(1, 12)))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm.score(docs, F.col("doc_id") < 120, block_rows=11).collect()}
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(lm.SHARE)) == 0
+    aside = {r.doc_id for r in docs.select("doc_id", place.alias("aside")).collect() if r.aside and r.doc_id < 120}
+    assert 0 < len(aside) < 40
+
+    def grams(text):
+        words = ["<", "<", *text.split(), ">"]
+        return [(tuple(words[k:k + 1]), tuple(words[k - 1:k + 1]), tuple(words[k - 2:k + 1])) for k in range(2, len(words))]
+
+    def counted(chosen):
+        counts = Counter(g for i, t in rows if i in chosen for three in grams(t) for g in three)
+        counts.update({("<",): len(chosen), ("<", "<"): len(chosen)})
+        return counts, sum(len(t.split()) + 1 for i, t in rows if i in chosen)
+
+    learned = set(range(120))
+    vocabulary = len({w for i, t in rows if i in learned for w in t.split()}) + 1
+
+    def chances(text, counts, total):
+        for one, two, three in grams(text):
+            bucket, out = 0, [1 / (vocabulary + 1), counts[one] / total]
+            for n, gram in enumerate((two, three)):
+                # A context at a text's begin is the start mark alone.
+                seen = counts[gram[:-1]] if gram[:-1] != ("<", "<") else counts[("<",)]
+                out.append(counts[gram] / seen if seen else 0.0)
+                if seen:
+                    bucket = 1 + n * lm.BUCKETS + min(int(math.log2(seen)) // 2, lm.BUCKETS - 1)
+            yield bucket, out
+
+    others = counted(learned - aside)
+    held = [x for i, t in rows if i in aside for x in chances(t, *others)]
+    weights = [[0.25] * 4 for _ in range(1 + 2 * lm.BUCKETS)]
+    for _ in range(lm.ROUNDS):
+        sums = [[0.25] * 4 for _ in weights]
+        for bucket, p in held:
+            whole = sum(w * x for w, x in zip(weights[bucket], p))
+            for k in range(4):
+                sums[bucket][k] += weights[bucket][k] * p[k] / whole
+        weights = [[x / sum(row) for x in row] for row in sums]
+    assert max(w[3] for w in weights) > 0.5 and max(p[3] for _, p in held) > 0
+    every = counted(learned)
+    want = {i: sum(math.log10(sum(w * x for w, x in zip(weights[b], p))) for b, p in chances(t, *every)) for i, t in rows}
+    assert all(abs(got[i] - want[i]) < 1e-6 for i in want)
