@@ -2,7 +2,8 @@
 
 Fixed patterns find keys with a known shape. For all other long runs of key characters, two
 first-order character Markov models, one of random strings and one of ordinary identifiers, give a
-log-likelihood ratio; runs above a threshold are secrets as well. The models are bigram counts of
+log-likelihood ratio; runs above a threshold are secrets as well. What the patterns find is cut out of
+a run and the pieces left are judged by themselves. The models are bigram counts of
 labelled samples: by default what the patterns found against ordinary words of a bounded sample of
 documents. A model is a table over pairs of 65 characters, whatever the corpus.
 """
@@ -24,7 +25,8 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-RUN = r"[A-Za-z0-9+/_=-]{16,}"
+LEAST = 16
+RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 IDENTIFIER = r"[A-Za-z_-]{6,}"
 SAMPLE_DOCUMENTS = 4000
 #: Natural-log odds that a run needs to count as random.
@@ -113,10 +115,26 @@ def log_ratio(run: Column, model: list[float]) -> Column:
                        lambda total, i: total + F.get(table, place(i) * len(ALPHABET) + place(i + 1)))
 
 
+def _outside(run: Column, base: Column) -> Column:
+    """The pieces of a run between what the patterns found, as spans of the run's rank."""
+    touching = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+
+    def piece(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), run["rank"].alias("rank"), end.alias("end"),
+                        F.substr(run["value"], start - run["start"] + 1, end - start).alias("value"))
+
+    step = lambda s, b: F.struct(
+        F.greatest(s["at"], b["end"]).alias("at"),
+        F.when(b["start"] > s["at"], F.concat(s["out"], F.array(piece(s["at"], b["start"])))).otherwise(s["out"]).alias("out"))
+    rest = lambda s: F.when(s["at"] < run["end"], F.concat(s["out"], F.array(piece(s["at"], run["end"])))).otherwise(s["out"])
+    return F.when(F.size(touching) == 0, F.array(run)).otherwise(
+        F.aggregate(touching, F.struct(run["start"].alias("at"), _none().alias("out")), step, rest))
+
+
 def _markov_spans(text: Column, base: Column, model: list[float], threshold: float) -> Column:
     runs = F.when(text.rlike(RUN), _spans(text, RUN, "markov")).otherwise(_none())
-    outside = F.filter(runs, lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return F.filter(outside, lambda r: log_ratio(r["value"], model) >= threshold)
+    outside = F.flatten(F.transform(runs, lambda r: _outside(r, base)))
+    return F.filter(outside, lambda r: (F.length(r["value"]) >= LEAST) & (log_ratio(r["value"], model) >= threshold))
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", model: list[float] | None = None,
