@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratings_engine.llm import decontaminate, mixing, ngramjoin, quality, secrets
@@ -22,16 +22,18 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of least id stays, and one row of that id.
-
-    Documents without words are a group each; rows without an id stay."""
-    linked = ngramjoin.link(docs.select("doc_id", "text"), n=SHINGLE, percent=SIMILARITY)
-    chosen = linked.where("n_shingles = 0 or doc_id = component_id").select("doc_id").distinct()
-    # Rows that share an id are ordered by content; only such rows meet in a task.
-    copies = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-    first = (docs.where(F.col("doc_id").isNotNull()).join(chosen, "doc_id", "left_semi")
-             .withColumn("place in id", F.row_number().over(copies)).where("`place in id` = 1").drop("place in id"))
-    return first.select(*docs.columns).unionAll(docs.where(F.col("doc_id").isNull()))
+    """Of each group of near duplicates one row stays: that of least id, null ids last, and of rows with
+    that id the first read.
+
+    Rows are told apart by numbers of their own, whatever their ids. Rows without words are a group each."""
+    number = "number in this stage"
+    rows = staged(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    linked = ngramjoin.link(rows.select(number, "text"), doc_id=number, n=SHINGLE, percent=SIMILARITY)
+    first = F.struct(F.col("id").isNull(), "id", "number")
+    chosen = (linked.select(F.col("doc_id").alias("number"), "component_id")
+              .join(rows.select(F.col(number).alias("number"), F.col("doc_id").alias("id")), "number")
+              .groupBy("component_id").agg(F.min(first)["number"].alias(number)))
+    return rows.join(chosen, number, "left_semi").select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

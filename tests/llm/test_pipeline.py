@@ -55,6 +55,20 @@ def test_awkward_rows_pass_every_stage(spark, tables, awkward, none):
         assert docs.count() <= awkward.count()
 
 
+def test_near_duplicates_are_rows_not_ids(spark, tables):
+    rng = random.Random(10)
+    text = lambda: " ".join(rng.choice("abcdefghij") + str(rng.randrange(99)) for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    near = lambda t: t + " more"
+    rows = [(1, a), (1, b), (1, c), (2, near(a)), (0, near(b)), (None, near(c)), (None, d), (None, d), (None, e), (3, e),
+            (4, ""), (4, None), (None, ""), (5, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s0", 1) for i, t in rows], SCHEMA)
+    got = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, tables)
+    assert got.columns == docs.columns
+    want = [(1, a), (1, c), (0, near(b)), (None, d), (3, e), (4, ""), (4, None), (None, "")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, want))
+
+
 def test_registered_names():
     assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
     assert len(corpus_pipeline.STAGES) == 5
