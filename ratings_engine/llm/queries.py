@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratings_engine.llm import decontaminate, langid, lm, mixing, ngramjoin, quality, rules, secrets, suffix, warc
+from ratings_engine.llm import (
+    decontaminate,
+    langid,
+    lm,
+    merkle,
+    mixing,
+    ngramjoin,
+    quality,
+    rules,
+    secrets,
+    substring,
+    suffix,
+    variants,
+    warc,
+)
 
 QUERIES = {}
 
@@ -87,3 +101,27 @@ def op9_mix_sources(spark, sf_dir):
 def op10_warc_revisits(spark, sf_dir):
     return (warc.archive_pages(_table(spark, sf_dir, "pages"))
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+@query
+def op11_window_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (substring.remove_repeats(docs)
+            .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    claimed = F.when(_fold(7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    given = merkle.leaf_digest(*[claimed if c == "n_chars" else F.col(c) for c in columns])
+    listed = merkle.manifest(docs, columns, keep={"claimed": F.unhex(given)})
+    proved = listed.withColumn("folded_root", merkle.folded(F.lower(F.hex("claimed")), F.col("steps")))
+    return proved.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return variants.variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
