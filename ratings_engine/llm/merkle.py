@@ -5,9 +5,8 @@ node is an ancestor of a leaf if its interval contains the leaf's rank. On level
 multiple of fanout^k; low // fanout^k is its bucket, which turns the containment join into an equi-join
 on tree, level and bucket. What a parent's interval has beyond its child's are the child's siblings.
 
-Levels come in bands. A band's lowest nodes meet the inner nodes of their band only, and then the finished
-proof of the band's top node above them, so a proof of many levels is not assembled from as many rows
-per leaf. Ranks are taken by ranges of the order, never in one task for a tree.
+Levels come in bands. A band's lowest nodes meet the inner nodes of their band and the finished proof of the
+node above it in one row by bucket, so a leaf is moved once and not once for each level. Ranks are taken by ranges of the order, never in one task for a tree.
 """
 
 from __future__ import annotations
@@ -15,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratings_engine.llm.common import let
-from ratings_engine.sources import storage
+from ratings_engine.llm.common import let, staged
 
 #: Levels of a band: groups of fanout^BAND nodes are hashed together.
 BAND = 6
@@ -54,7 +52,7 @@ def ranked(rows: DataFrame, tree: str, order: list[Column]) -> DataFrame:
     sorted_rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     place = F.monotonically_increasing_id()
     # The row number within its task, and the task's number above it.
-    stored, _ = storage.stage(sorted_rows.withColumn("place", place), "ranked")
+    stored = staged(sorted_rows.withColumn("place", place), "ranked")
     part = F.shiftright("place", 33).alias("part")
     counts = stored.groupBy(tree, part).agg(F.count("*").alias("n"), F.min("place").alias("least"))
     earlier = Window.partitionBy(tree).orderBy("part")
@@ -66,7 +64,7 @@ def ranked(rows: DataFrame, tree: str, order: list[Column]) -> DataFrame:
     return met.select(*rows.columns, (F.col("place") - F.col("least") + F.col("upto") - F.col("n")).alias("rank"), "leaves")
 
 
-def _runs_above(members: DataFrame, tree: str, base: int, fanout: int, band: int) -> tuple[DataFrame, str]:
+def _runs_above(members: DataFrame, base: int, fanout: int, band: int) -> DataFrame:
     """All nodes above members (tree, low, high, leaves, digest: the nodes of level `base`) in their band.
 
     One row per parent: tree, level of its children, bucket, own interval and digest, its children."""
@@ -96,11 +94,16 @@ def _runs_above(members: DataFrame, tree: str, base: int, fanout: int, band: int
         return F.when(more, let(parents(state["nodes"], level), up)).otherwise(state)
 
     nodes = F.array_sort(F.collect_list(F.struct("low", "high", "digest").cast(node)))
-    groups = members.groupBy(tree, bucket.alias("bucket")).agg(F.first("leaves").alias("leaves"), nodes.alias("nodes"))
+    groups = members.groupBy("tree", bucket.alias("bucket")).agg(F.first("leaves").alias("leaves"), nodes.alias("nodes"))
     start = F.struct(F.col("nodes").alias("nodes"), F.array().cast(f"array<{run}>").alias("runs"))
     climbed = F.aggregate(F.sequence(F.lit(0), F.lit(band - 1)), start, climb)["runs"]
-    found = groups.select(tree, "leaves", F.explode(climbed).alias("run")).select(tree, "leaves", "run.*")
-    return storage.stage(found, "nodes")
+    found = groups.select("tree", "leaves", F.explode(climbed).alias("run")).select("tree", "leaves", "run.*")
+    return staged(found, "nodes")
+
+
+def _spans(leaves: DataFrame) -> DataFrame:
+    """Leaves cover an interval of one rank."""
+    return leaves.withColumn("low", F.col("rank")).withColumn("high", F.col("rank") + 1).drop("rank", "leaves")
 
 
 def _top(runs: DataFrame, level: int) -> DataFrame:
@@ -108,16 +111,16 @@ def _top(runs: DataFrame, level: int) -> DataFrame:
     return runs.where(F.col("level") == level - 1).select("tree", "low", "high", "leaves", "digest")
 
 
-def trees(leaves: DataFrame, tree: str = "tree", fanout: int = 2, band: int = BAND) -> tuple[list, DataFrame]:
+def trees(leaves: DataFrame, fanout: int = 2, band: int = BAND) -> tuple[list, DataFrame]:
     """Bands of inner nodes from below, and (tree, digest) of the roots.
 
     leaves: tree, rank, leaves (of the tree), digest (binary). Each band is (level it starts on, runs)."""
-    members = leaves.select(F.col(tree).alias("tree"), F.col("rank").alias("low"), (F.col("rank") + 1).alias("high"),
+    members = leaves.select("tree", F.col("rank").alias("low"), (F.col("rank") + 1).alias("high"),
                             "leaves", "digest")
     roots = members.where("leaves = 1").select("tree", "digest")
     bands, base = [], 0
     while not members.where("leaves > 1").isEmpty():
-        runs, _ = _runs_above(members.where("leaves > 1"), "tree", base, fanout, band)
+        runs = _runs_above(members.where("leaves > 1"), base, fanout, band)
         bands.append((base, runs))
         roots = roots.unionByName(runs.where("low = 0 and high = leaves").select("tree", "digest"))
         # Trees with nodes left beside that of the band's highest level go on.
@@ -126,52 +129,61 @@ def trees(leaves: DataFrame, tree: str = "tree", fanout: int = 2, band: int = BA
     return bands, roots
 
 
-#: What a leaf's proof says of a level: siblings before and after its node, as concatenated hex digests.
-_STEP = "struct<level:int,before:string,after:string>"
+#: What a proof says of a level: digests of the siblings before and after the node, one behind the other.
+_STEP = "struct<level:int,before:binary,after:binary>"
+_NO_STEPS = f"array<{_STEP}>"
+
 
+def _joined(nodes: Column) -> Column:
+    return F.aggregate(nodes, F.lit(b""), lambda all_, c: F.concat(all_, c["digest"]))
 
-def proofs(bands: list, fanout: int = 2, band: int = BAND) -> DataFrame | None:
-    """(tree, rank, steps) for all leaves of trees with several; None where no tree has.
 
-    From the highest band down, each node of the band's lowest level meets the nodes of its ancestors'
-    intervals, then takes over the steps of the highest ancestor it has in the band."""
+def _attach(members: DataFrame, runs: DataFrame, above: DataFrame | None, base: int, fanout: int, band: int) -> DataFrame:
+    """members (tree, low, high and others) with steps.
+
+    A member meets the nodes of its band in one row, by tree and the bucket of the band's highest level. Those
+    whose interval contains the member's are its ancestors; their children beside it are the siblings. The
+    steps above the band come with the same row."""
+    reach = fanout ** (base + band)
+    bucket = F.floor(F.col("low") / reach)
+    run = F.struct("level", "low", "high", "children")
+    covering = runs.groupBy(F.col("tree").alias("of"), bucket.alias("b")).agg(F.collect_list(run).alias("runs"))
+    if above is not None:
+        further = above.select(F.col("tree").alias("t"), bucket.alias("k"), F.col("steps").alias("further"))
+        covering = covering.join(further, F.col("of").eqNullSafe(F.col("t")) & (F.col("b") == F.col("k")), "left").drop("t", "k")
+    else:
+        covering = covering.withColumn("further", F.lit(None).cast(_NO_STEPS))
+    ancestors = F.array_sort(F.filter("runs", lambda r: (r["low"] <= F.col("low")) & (F.col("high") <= r["high"])))
+    steps = F.transform(ancestors, lambda r: F.struct(
+        r["level"].alias("level"),
+        _joined(F.filter(r["children"], lambda c: c["high"] <= F.col("low"))).alias("before"),
+        _joined(F.filter(r["children"], lambda c: c["low"] >= F.col("high"))).alias("after")).cast(_STEP))
+    none = F.array().cast(_NO_STEPS)
+    met = members.join(covering, F.col("tree").eqNullSafe(F.col("of")) & (bucket == F.col("b")), "left")
+    return met.select(*members.columns, F.concat(F.coalesce(steps, none), F.coalesce("further", none)).alias("steps"))
+
+
+def proofs(leaves: DataFrame, bands: list, fanout: int = 2, band: int = BAND) -> DataFrame:
+    """leaves (tree, low, high and others) with steps: their siblings on all levels, from below.
+
+    The steps of the nodes at the foot of the highest band come first and are handed down."""
     above = None
-    for base, runs in reversed(bands):
-        width = fanout ** base
-        node = runs.where(F.col("level") == base).select("tree", "leaves", F.explode("children").alias("c")).select(
-            "tree", "leaves", F.col("c.low").alias("low"), F.col("c.high").alias("high"))
-        levels = F.sequence(F.lit(base), F.lit(base + band - 1))
-        # On which levels the tree still has several nodes.
-        levels = F.filter(levels, lambda k: F.pow(F.lit(fanout), k).cast("bigint") < F.col("leaves"))
-        asked = node.select("tree", "low", "high", F.explode(levels).alias("level"))
-        bucket = lambda low: F.floor(F.col(low) / F.pow(F.lit(fanout), F.col("level") + 1))
-        asked = asked.withColumn("bucket", bucket("low"))
-        covering = runs.select(F.col("tree").alias("of"), F.col("level").alias("on"), F.col("low").alias("from"),
-                               F.col("high").alias("to"), "children", bucket("low").alias("b"))
-        met = asked.join(covering, F.col("tree").eqNullSafe(F.col("of")) & (F.col("level") == F.col("on"))
-                         & (F.col("bucket") == F.col("b")) & (F.col("from") <= F.col("low")) & (F.col("high") <= F.col("to")))
-        spelled = lambda nodes: F.array_join(F.transform(nodes, lambda c: _spelled(c["digest"])), "")
-        before = F.filter("children", lambda c: c["high"] <= F.col("low"))
-        after = F.filter("children", lambda c: c["low"] >= F.col("high"))
-        step = F.struct("level", spelled(before).alias("before"), spelled(after).alias("after")).cast(_STEP)
-        found = met.groupBy("tree", "low").agg(F.array_sort(F.collect_list(step)).alias("steps"))
-        if above is not None:
-            top = F.floor(F.col("low") / (width * fanout ** band)) * (width * fanout ** band)
-            upper = above.select(F.col("tree").alias("of"), F.col("rank").alias("top"), F.col("steps").alias("further"))
-            found = (found.withColumn("ancestor", top.cast("bigint"))
-                     .join(upper, F.col("tree").eqNullSafe(F.col("of")) & (F.col("ancestor") == F.col("top")), "left")
-                     .select("tree", "low", F.concat("steps", F.coalesce("further", F.array().cast(f"array<{_STEP}>"))).alias("steps")))
-        above = found.select("tree", F.col("low").alias("rank"), "steps")
-    return above
+    for base, runs in reversed(bands[1:]):
+        nodes = runs.where(F.col("level") == base).select("tree", F.explode("children").alias("c")).select(
+            "tree", F.col("c.low").alias("low"), F.col("c.high").alias("high"))
+        above = _attach(nodes, runs, above, base, fanout, band)
+    if not bands:
+        return leaves.withColumn("steps", F.array().cast(_NO_STEPS))
+    return _attach(leaves, bands[0][1], above, 0, fanout, band)
 
 
 def folded(leaf: Column, steps: Column) -> Column:
-    """The root that a leaf and its siblings give."""
-    return F.aggregate(steps, leaf, lambda digest, s: _digest(F.concat(s["before"], digest, s["after"])))
+    """The root that a leaf (hexadecimal) and its siblings give."""
+    return F.aggregate(steps, leaf, lambda digest, s: _digest(F.concat(_spelled(s["before"]), digest, _spelled(s["after"]))))
 
 
 def proof_digest(steps: Column) -> Column:
-    return _digest(F.array_join(F.transform(steps, lambda s: F.concat(s["before"], s["after"])), ""))
+    return _digest(F.array_join(F.transform(steps, lambda s: F.concat(_spelled(s["before"]), _spelled(s["after"]))), ""))
 
 
 def manifest(docs: DataFrame, columns: list[str], tree: str = "lang", order: str = "doc_id", fanout: int = 2,
@@ -182,7 +194,7 @@ def manifest(docs: DataFrame, columns: list[str], tree: str = "lang", order: str
     `order`, null first, ties by leaf; every `fanout` consecutive nodes, of which the last run may have
     fewer, get a parent until one is left. The subroots, in the order of their values as UTF-8, get a tree
     of their own. A row alone has no siblings and is the root. Repeated rows are leaves of their own.
-    An empty table gives no rows. steps has for each level the siblings before and after, as hex digits.
+    An empty table gives no rows. steps has for each level the digests of the siblings before and after, joined, as bytes.
     keep names expressions over docs that come along; other columns of docs are not read, whatever their names."""
     keep = keep or {}
     leaf = _packed(leaf_digest(*[F.col(f"`{c}`") for c in columns]))
@@ -190,27 +202,15 @@ def manifest(docs: DataFrame, columns: list[str], tree: str = "lang", order: str
                        F.struct(F.lit(0), *[value.alias(name) for name, value in keep.items()]).alias("kept"))
     leaves = ranked(rows, "tree", [F.col("id").asc_nulls_first(), F.col("digest").asc()])
     bands, roots = trees(leaves, fanout=fanout, band=band)
-    roots, _ = storage.stage(roots, "roots")
+    roots = staged(roots, "roots")
     # The subroots are leaves of one more tree.
-    upper = ranked(roots.select(F.lit(0).alias("all"), F.col("tree").alias("value"), "digest"), "all",
+    upper = ranked(roots.select(F.lit(0).alias("tree"), F.col("tree").alias("value"), "digest"), "tree",
                    [F.col("value").asc_nulls_first()])
-    upper_bands, root = trees(upper, "all", fanout, band)
+    upper_bands, root = trees(upper, fanout=fanout, band=band)
     root = root.first()
-    top = upper.select("value", "rank", F.col("digest").alias("subroot"), F.lit(root and root.digest).cast("binary").alias("root"))
-    none = F.array().cast(f"array<{_STEP}>")
-    highest = proofs(upper_bands, fanout, band)
-    top = (top.withColumn("further", none) if highest is None else
-           top.join(highest.select("rank", F.col("steps").alias("further")), "rank"))
-    lower = proofs(bands, fanout, band)
-    out = leaves.select("tree", "id", "rank", "digest", "kept")
-    if lower is None:
-        out = out.withColumn("steps", none)
-    else:
-        lower = lower.select(F.col("tree").alias("of"), F.col("rank").alias("at"), "steps")
-        out = (out.join(lower, F.col("tree").eqNullSafe(F.col("of")) & (F.col("rank") == F.col("at")), "left")
-               .withColumn("steps", F.coalesce("steps", none)))
-    top = top.select(F.col("value").alias("of tree"), "subroot", "root", "further")
-    return (out.join(top, F.col("tree").eqNullSafe(F.col("of tree")))
-            .select(F.col("id").alias(order), F.col("tree").alias(tree), _spelled(F.col("digest")).alias("leaf"),
-                    _spelled(F.col("subroot")).alias("subroot"), _spelled(F.col("root")).alias("root"),
-                    F.concat("steps", "further").alias("steps"), *[F.col(f"kept.`{name}`") for name in keep]))
+    top = proofs(_spans(upper), upper_bands, fanout, band).select(
+        F.col("value").alias("of tree"), F.col("digest").alias("subroot"), F.col("steps").alias("further"))
+    out = proofs(_spans(leaves), bands, fanout, band).join(top, F.col("tree").eqNullSafe(F.col("of tree")))
+    return out.select(F.col("id").alias(order), F.col("tree").alias(tree), _spelled(F.col("digest")).alias("leaf"),
+                      _spelled(F.col("subroot")).alias("subroot"), F.lit(root and root.digest.hex()).cast("string").alias("root"),
+                      F.concat("steps", "further").alias("steps"), *[F.col(f"kept.`{name}`") for name in keep])
