@@ -304,6 +304,22 @@ ORACLES = {
     "gold_touched_categories": _sql(SILVER, "select distinct category from sv"),
     "gold_compaction": _PM_ALL,
     "gold_incremental": _PM_ALL,
+    "gold_incremental_full": _sql(VI, "select * from vi"),
+    "gold_late_reviews": _sql((*SILVER, _DAILY), """
+        select parent_asin, category, review_date, daily_review_count, daily_rating_sum,
+               cast(sum(daily_review_count) over sofar as bigint) as total_reviews,
+               sum(daily_rating_sum) over sofar as total_rating_sum
+        from daily window sofar as (partition by parent_asin, category order by review_date
+                                    rows between unbounded preceding and current row)"""),
+    "gold_touched_intervals": _sql(SILVER, """
+        select category, min(review_date) as "start", max(review_date) as "end"
+        from (select *, sum(first) over (partition by category order by review_date) as island
+              from (select category, review_date,
+                           case when review_date - lag(review_date) over (
+                                     partition by category order by review_date) <= 2 then 0 else 1 end as first
+                    from (select distinct category, review_date from sv
+                          where ingestion_date = date '2026-01-04' and helpful_vote = 3 and rating = 5)))
+        group by category, island"""),
     "gold_incremental_lookback": _sql(_looking_back(PM), """
         select pm.* from pm, bounds where review_date between first_day and last_day"""),
 

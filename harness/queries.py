@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from harness import bindings as b
 from harness.rawfiles import json_lines, write_lines
 from ratings_engine import schemas
-from ratings_engine.operators import audit, bi, gold, quality, upsert
+from ratings_engine.operators import audit, bi, carry, gold, quality, upsert
 from ratings_engine.operators import silver as sv
 from ratings_engine.operators.bundle import review_bundle
 from ratings_engine.plans import medallion, sqlsurface
@@ -364,21 +364,21 @@ def gold_schema_evolution(spark, sf_dir):
 
 @query
 def upsert_after_crash(spark, sf_dir):
-    """The second of two batches dies after its rows are staged; the next run finishes it."""
+    """The second of two batches dies after its rows are written; the next run finishes it."""
     path, trends = _scratch(spark), b.category_trends(spark, sf_dir)
-    table, move = schemas.CATEGORY_TRENDS_TABLE, storage.move
+    table, delete_all = schemas.CATEGORY_TRENDS_TABLE, storage.delete_all
     upsert.upsert_table(spark, gold.restrict(trends, None, "1999-12-31"), path, table)
 
     def dying(*_):
         raise RuntimeError("died")
 
-    storage.move = dying
+    storage.delete_all = dying
     try:
         upsert.upsert_table(spark, gold.restrict(trends, "1999-06-01"), path, table)
     except RuntimeError:
         pass
     finally:
-        storage.move = move
+        storage.delete_all = delete_all
     upsert.upsert_table(spark, gold.restrict(trends, "2000-01-01", "2000-01-31"), path, table)
     return tables.read_slice(spark, path, table)
 
@@ -416,6 +416,37 @@ def gold_incremental(spark, sf_dir):
     return _rounded(tables.read_slice(spark, medallion.gold_path(root, table), table), "avg_price")
 
 
+@query
+def gold_incremental_full(spark, sf_dir):
+    """The same with every row of the second batch's products read again, instead of the state."""
+    root = _scratch(spark)
+    for ingestion_date in _silver_batches(spark, sf_dir, root):
+        medallion.run_gold(spark, root, ingestion_date=ingestion_date, skip_compact=True, history="full")
+    table = schemas.VERIFIED_IMPACT_TABLE
+    return tables.read_slice(spark, medallion.gold_path(root, table), table)
+
+
+@query
+def gold_late_reviews(spark, sf_dir):
+    """Reviews of 1995 come last, by category: stored totals of all later days are corrected."""
+    root, silver = _scratch(spark), b.silver(spark, sf_dir)
+    late = silver.where("year(review_date) = 1995")
+    for rows, batch in ((silver.where("year(review_date) <> 1995 or review_date is null"), "2026-03-01"),
+                        (late.where("category = 'SMALL'"), "2026-03-02"), (late.where("category <> 'SMALL'"), "2026-03-03")):
+        rows = rows.withColumn("ingestion_date", F.lit(batch).cast("date"))
+        upsert.upsert_table(spark, rows, medallion.silver_path(root), schemas.SILVER_TABLE)
+        medallion.run_gold(spark, root, ingestion_date=batch, skip_compact=True)
+    state = tables.read_slice(spark, medallion.state_path(root), schemas.PRODUCT_DAILY_TABLE)
+    return state.drop("daily_avg_price")
+
+
+@query
+def gold_touched_intervals(spark, sf_dir):
+    """The days the last delivery of each category's returned items touches, as intervals."""
+    batch = b.silver(spark, sf_dir).where("ingestion_date = date'2026-01-04' and helpful_vote = 3 and rating = 5")
+    return carry.merge_days(batch.select("category", "review_date"), gap=2)
+
+
 @query
 def gold_incremental_lookback(spark, sf_dir):
     """One refresh of the dates of a single batch, reading 30 days back."""

@@ -19,7 +19,7 @@ def main(arguments=None) -> None:
     parser.add_argument("--category")
     parser.add_argument("--skip-compact", action="store_true")
     parser.add_argument("--no-gate", action="store_true")
-    parser.add_argument("--history", choices=("lookback", "full"), default="full")
+    parser.add_argument("--history", choices=("carried", "full", "lookback"), default="carried")
     parser.add_argument("--forward", action="store_true")
     options = parser.parse_args(arguments)
     spark = (SparkSession.builder.appName("ratings_engine")

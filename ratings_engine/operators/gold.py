@@ -35,15 +35,53 @@ def daily_product(silver: DataFrame) -> DataFrame:
         F.avg("price").alias("daily_avg_price"))
 
 
+def star_counts(silver: DataFrame) -> DataFrame:
+    """One row per product, day, verified flag and star: the sums all Gold tables are made of.
+
+    Read Silver once for this; daily_from(), trends_from() and impact_from() need no other rows."""
+    return silver.groupBy("parent_asin", "category", "review_date", "verified_purchase",
+                          fc.star(F.col("rating")).alias("star")).agg(
+        F.count(F.lit(1)).alias("reviews"),
+        F.count("rating").alias("rated"), F.sum("rating").alias("rating_sum"),
+        F.count("price").alias("priced"), F.sum("price").alias("price_sum"))
+
+
+def _mean(total: str, count: str) -> Column:
+    return F.try_divide(F.sum(total), F.sum(count))
+
+
+def daily_from(sums: DataFrame) -> DataFrame:
+    """daily_product() from star_counts()."""
+    return sums.groupBy("parent_asin", "category", "review_date").agg(
+        F.sum("reviews").alias("daily_review_count"), F.sum("rating_sum").alias("daily_rating_sum"),
+        _mean("price_sum", "priced").alias("daily_avg_price"))
+
+
+def trends_from(sums: DataFrame) -> DataFrame:
+    """category_trends() from star_counts()."""
+    counts = (F.coalesce(F.sum(F.when(F.col("star") == n, F.col("reviews"))), F.lit(0)).alias(f"count_{n}_star")
+              for n in range(1, 6))
+    return sums.groupBy("category", "review_date").agg(
+        F.sum("reviews").alias("daily_review_count"), _mean("rating_sum", "rated").alias("daily_avg_rating"),
+        *counts).select(*schemas.CATEGORY_TRENDS.names)
+
+
+def impact_from(sums: DataFrame) -> DataFrame:
+    """verified_impact() from star_counts()."""
+    return sums.groupBy("category", "review_date", "verified_purchase").agg(
+        F.sum("reviews").alias("daily_review_count"), _mean("rating_sum", "rated").alias("avg_rating"),
+    ).select(*schemas.VERIFIED_IMPACT.names)
+
+
 def _by_day():
     return Window.partitionBy("parent_asin", "category").orderBy("_day")
 
 
 def _cumulative() -> dict[str, Column]:
     so_far = _by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reviews = F.sum("daily_review_count").over(so_far)
-    return {"total_reviews": reviews,
-            "average_rating": F.sum("daily_rating_sum").over(so_far) / reviews}
+    reviews, ratings = F.sum("daily_review_count").over(so_far), F.sum("daily_rating_sum").over(so_far)
+    return {"total_reviews": reviews, "total_rating_sum": ratings,
+            "average_rating": ratings / reviews}
 
 
 def _rolling(days: int) -> dict[str, Column]:
@@ -66,7 +104,7 @@ def _over_days(daily: DataFrame, *columns: dict[str, Column]) -> DataFrame:
 
 def cumulative(daily: DataFrame) -> DataFrame:
     """Running review count and running average rating."""
-    return _over_days(daily, _cumulative())
+    return _over_days(daily, _cumulative()).drop("total_rating_sum")
 
 
 def rolling(daily: DataFrame, days: int = ROLLING_DAYS) -> DataFrame:
@@ -79,10 +117,14 @@ def last_price(daily: DataFrame, days: int = ROLLING_DAYS) -> DataFrame:
     return _over_days(daily, _last_price(days))
 
 
+def over_days(daily: DataFrame) -> DataFrame:
+    """daily_product() with totals, rolling averages and last prices."""
+    return _over_days(daily, _cumulative(), _rolling(ROLLING_DAYS), _last_price(ROLLING_DAYS))
+
+
 def metrics_from_daily(daily: DataFrame, start=None, end=None) -> DataFrame:
     """Cumulative and rolling metrics of daily_product(), restricted after the windows."""
-    metrics = _over_days(daily, _cumulative(), _rolling(ROLLING_DAYS), _last_price(ROLLING_DAYS))
-    return restrict(metrics, start, end).select(*schemas.PRODUCT_METRICS.names)
+    return restrict(over_days(daily), start, end).select(*schemas.PRODUCT_METRICS.names)
 
 
 def product_metrics(silver: DataFrame, start=None, end=None) -> DataFrame:

@@ -47,6 +47,13 @@ VERIFIED_IMPACT = _columns(
 ROLLING_DAYS = 30
 # End of fixed values.
 
+# What a refresh carries on from: the sums of a product's day and its totals up to that day.
+PRODUCT_DAILY = _columns(
+    parent_asin="string", category="string", review_date="date", daily_review_count="long",
+    daily_rating_sum="double", daily_avg_price="double", total_reviews="long",
+    total_rating_sum="double",
+)
+
 
 def with_batch_columns(raw: StructType) -> StructType:
     """Bronze columns: the raw ones plus the batch label."""
@@ -63,6 +70,10 @@ DATE_BUCKETS = {
     "year": "year({0})",
     "year_month": "year({0}) * 100 + month({0})",
 }
+# How long a bucket is, as date_trunc() and make intervals name it.
+BUCKET_UNITS = {"year": "year", "year_month": "month"}
+# Integer partition column derived from the key: an upsert looks for a key in its own bucket only.
+KEY_BUCKET = "key_bucket"
 
 
 @dataclass(frozen=True)
@@ -77,6 +88,8 @@ class Table:
     # the same value of them.
     fixed_by_key: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    # Into how many folders keys are hashed, 0 for none; fixed once a table is written.
+    key_buckets: int = 0
 
     @property
     def bucket(self) -> str | None:
@@ -85,13 +98,18 @@ class Table:
     @property
     def stored_schema(self) -> StructType:
         schema = StructType(list(self.schema.fields))
-        return schema.add(self.bucket, "integer") if self.bucket else schema
+        if self.bucket:
+            schema.add(self.bucket, "integer")
+        return schema.add(KEY_BUCKET, "integer") if self.key_buckets else schema
 
 
 BRONZE_REVIEWS_TABLE = Table("reviews", BRONZE_REVIEWS, (), ("category", "ingestion_date"))
 BRONZE_METADATA_TABLE = Table("metadata", BRONZE_METADATA, (), ("category", "ingestion_date"))
 # The review key hashes the timestamp, hence fixes the year but not the category.
-SILVER_TABLE = Table("reviews", SILVER, ("review_id",), ("category", "year"), ("year",))
+SILVER_TABLE = Table(
+    "reviews", SILVER, ("review_id",), ("category", "year", KEY_BUCKET), ("year", KEY_BUCKET),
+    key_buckets=4,
+)
 PRODUCT_METRICS_TABLE = Table(
     "product_metrics", PRODUCT_METRICS, ("parent_asin", "category", "review_date"),
     ("category", "year_month"), ("category", "year_month"), ("parent_asin",),
@@ -105,4 +123,8 @@ VERIFIED_IMPACT_TABLE = Table(
     ("category", "review_date", "verified_purchase"),
     ("category", "year"), ("category", "year"), ("verified_purchase",),
 )
+PRODUCT_DAILY_TABLE = Table(
+    "product_daily", PRODUCT_DAILY, ("parent_asin", "category", "review_date"),
+    ("category", "year"), ("category", "year"), ("parent_asin",),
+)
 GOLD_TABLES = (PRODUCT_METRICS_TABLE, CATEGORY_TRENDS_TABLE, VERIFIED_IMPACT_TABLE)

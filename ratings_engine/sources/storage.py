@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,13 +64,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a file, making the target's folder."""
-    fs, from_path = _filesystem(spark, source)
-    to_path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs.mkdirs(to_path.getParent())
-    if not fs.rename(from_path, to_path):
-        raise OSError(f"cannot move {source} to {target}")
+def delete_all(spark: SparkSession, root: str, names: list[str]) -> None:
+    """Remove files or folders below root, many at a time: requests of which each waits for the store."""
+    with ThreadPoolExecutor(32) as pool:
+        for _ in pool.map(lambda name: delete(spark, f"{root}/{name}"), names):
+            pass
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ratings_engine.functions.columns import date_between
-from ratings_engine.schemas import DATE_BUCKETS, Table
+from ratings_engine.schemas import BUCKET_UNITS, DATE_BUCKETS, KEY_BUCKET, Table
+from ratings_engine.sources import storage
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -32,11 +34,35 @@ def compact_output(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def with_bucket(df: DataFrame, table: Table) -> DataFrame:
-    """Add the table's date bucket, if it has one, as partition column."""
-    if table.bucket is None:
-        return df
-    return df.withColumn(table.bucket,
-                         F.expr(DATE_BUCKETS[table.bucket].format("review_date")).cast("int"))
+    """Add the table's date bucket and key bucket, where it has them, as partition columns."""
+    if table.bucket is not None:
+        df = df.withColumn(table.bucket, F.expr(DATE_BUCKETS[table.bucket].format("review_date")).cast("int"))
+    if table.key_buckets:
+        df = df.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*table.keys), F.lit(table.key_buckets)).cast("int"))
+    return df
+
+
+def _one_of(column: str, values: set) -> Column:
+    known = F.col(column).isin([v for v in values if v is not None])
+    return known | F.col(column).isNull() if None in values else known
+
+
+def in_folders(columns: Sequence[str], values: Iterable[tuple]) -> Column:
+    """Whether the columns have one of some combinations of values, null being one; on partition columns
+    Spark lists those folders only."""
+    head, *rest = columns
+    if not rest:
+        return _one_of(head, {v[0] for v in values})
+    tails: dict = {}
+    for value in values:
+        tails.setdefault(value[0], set()).add(tuple(value[1:]))
+    heads: dict = {}
+    for value, tail in tails.items():
+        heads.setdefault(frozenset(tail), set()).add(value)
+    test = F.lit(False)
+    for tail, found in heads.items():
+        test = test | (_one_of(head, found) & in_folders(rest, tail))
+    return test
 
 
 def bucket_between(table: Table, start=None, end=None) -> Column:
@@ -80,3 +106,37 @@ def read_slice(spark: SparkSession, path: str, table: Table, category: str | Non
         df = df.where(date_between(F.col("review_date"), start, end)
                       & bucket_between(table, start, end))
     return df.select(*table.schema.names)
+
+
+#: Up to so many intervals, a few MB, travel to every task; more are joined day by day.
+FEW_INTERVALS = 50_000
+
+
+def read_intervals(spark: SparkSession, path: str, table: Table, intervals: DataFrame) -> DataFrame:
+    """The declared columns for intervals (category, start, end) of review dates, which must not overlap.
+
+    Folders are chosen by the categories and date buckets of the intervals, as many values as folders;
+    within them rows meet the intervals of their category and bucket."""
+    unit = BUCKET_UNITS[table.bucket]
+    bucket = F.expr(DATE_BUCKETS[table.bucket].format("piece")).cast("int")
+    pieces = intervals.select("category", "start", "end", F.explode(F.expr(
+        f"sequence(to_date(date_trunc('{unit}', start)), to_date(date_trunc('{unit}', end)), interval 1 {unit})"
+    )).alias("piece")).select(F.col("category").alias("_of"), bucket.alias("_in"), "start", "end")
+    folders = [tuple(row) for row in pieces.select("_of", "_in").distinct().collect()]
+    stored = open_table(spark, path, table).where(in_folders(["category", table.bucket], folders))
+    if pieces.limit(FEW_INTERVALS + 1).count() <= FEW_INTERVALS:
+        wanted = (F.col("category").eqNullSafe(F.col("_of")) & (F.col(table.bucket) == F.col("_in"))
+                  & F.col("review_date").between(F.col("start"), F.col("end")))
+        return stored.join(F.broadcast(pieces), wanted, "left_semi").select(*table.schema.names)
+    days = intervals.select(F.col("category").alias("_of"), F.explode(F.sequence("start", "end")).alias("_day"))
+    wanted = F.col("category").eqNullSafe(F.col("_of")) & (F.col("review_date") == F.col("_day"))
+    return stored.join(days, wanted, "left_semi").select(*table.schema.names)
+
+
+def stored_categories(spark: SparkSession, path: str) -> set:
+    """Categories that a table partitioned by category has folders for; reads no file."""
+    if not storage.exists(spark, path):
+        return set()
+    names = (unquote(folder.rstrip("/").rsplit("/", 1)[-1]).partition("=")[2]
+             for folder in storage.subfolders(spark, path, "category="))
+    return {None if name == "__HIVE_DEFAULT_PARTITION__" else name for name in names}
