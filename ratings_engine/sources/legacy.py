@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, StringType, StructType
 
 from ratings_engine import schemas
 from ratings_engine.functions.columns import strip
+from ratings_engine.sources import storage
 
 # Field names of both generations. Read as text, since older files quote numbers
 # and mix types; a nested value is read as its JSON text.
@@ -24,6 +25,8 @@ METADATA_FIELDS = (
     "parent_asin", "asin", "avg_rating", "num_reviews",
 )
 ROWS_PER_CATEGORY = 10_000
+# Fields whose presence tells the generation of a record.
+MARKS = ("overall", "main_category")
 # End of fixed values.
 
 _KEYS = "_keys"
@@ -48,44 +51,103 @@ def _as_json(line: Column) -> Column:
     return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike("^['\"]"), inside(t)).otherwise(outside(t))), "")
 
 
+#: Up to so many files of records over many lines, their names travel to every task.
+FEW_FILES = 10_000
+_STRING = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
+_PART = _STRING + r"""|[\[{(]|[\]})]|[^'"\[\]{}()]+"""
+_END = "\x1e"
+
+
+def _before(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """rows (file, block, place) with the sum of a column over all lines of the file before, as `name`.
+
+    Lines are summed within their block of the file, blocks within the file, so no task sees more than a block."""
+    blocks = rows.groupBy("file", "block").agg(F.sum(value).alias("_total"))
+    earlier = F.sum("_total").over(Window.partitionBy("file").orderBy("block")) - F.col("_total")
+    own = F.sum(value).over(Window.partitionBy("file", "block").orderBy("place")) - F.col(value)
+    return (rows.join(blocks.select("file", "block", earlier.alias("_earlier")), ["file", "block"])
+            .withColumn(name, own + F.col("_earlier")).drop("_earlier"))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """(line): the texts of the records of files that are one array, or objects one behind the other.
+
+    lines: file, block, place, line, base. Brackets outside strings give each line the depth it begins with;
+    a record ends where a bracket leads back to `base`, the depth between records. Pieces of a record meet
+    by file and record number. A file cut off in the middle keeps the records before."""
+    bare = F.regexp_replace("line", _STRING, '""')
+    opened, closed = (F.length(F.regexp_replace(bare, kept, "")) for kept in (r"[^\[{(]", r"[^\]})]"))
+    placed = _before(lines.withColumn("_turn", opened - closed), "_turn", "_depth")
+
+    def step(state, token):
+        turn = F.when(token.isin("[", "{", "("), 1).when(token.isin("]", "}", ")"), -1).otherwise(0)
+        depth, base = state["depth"], F.col("base")
+        inside = F.when(F.greatest(depth, depth + turn) > base, token).otherwise("")
+        end = F.when((turn < 0) & (depth > base) & (depth + turn == base), _END).otherwise("")
+        return F.struct((depth + turn).alias("depth"), F.concat(state["text"], inside, end).alias("text"))
+
+    tokens = F.regexp_extract_all("line", F.lit(_PART), F.lit(0))
+    start = F.struct(F.col("_depth").cast("long").alias("depth"), F.lit("").alias("text"))
+    cut = placed.withColumn("_parts", F.split(F.aggregate(tokens, start, step)["text"], _END))
+    numbered = _before(cut.withColumn("_ends", F.size("_parts") - 1), "_ends", "_record")
+    parts = (numbered.select("file", "block", "place", "_record", F.posexplode("_parts").alias("k", "part"))
+             .where("part <> ''"))
+    pieces = F.array_sort(F.collect_list(F.struct("block", "place", "k", "part")))
+    return (parts.groupBy("file", (F.col("_record") + F.col("k")).alias("record"))
+            .agg(F.array_join(F.transform(pieces, lambda p: p["part"]), "\n").alias("line")).select("line"))
+
+
 def _texts(spark: SparkSession, path) -> DataFrame:
-    """(line): the lines of files of lines, and the whole text of files that are one array or object
+    """(line): one text per line of files of lines, one per record of files that are one array or object
     over many lines. Which kind a file is, its first line that is not blank tells: it opens an array
-    it does not close, or is a lone brace. Only names of whole-text files reach the driver."""
-    raw = spark.read.text(path).select(
+    it does not close, or is a lone brace."""
+    filled = spark.read.text(path).select(
         strip(F.col("value")).alias("line"), F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id")).alias("place"))
-    filled = raw.where("line <> ''")
-    first = filled.groupBy("file").agg(F.min_by("line", "place").alias("first"))
-    whole = [row.file for row in first.where(
-        (F.col("first").startswith("[") & ~F.col("first").endswith("]")) | (F.col("first") == "{")).collect()]
-    lines = filled.where(~F.col("file").isin(whole)).select("line")
-    if whole:
-        lines = lines.unionByName(spark.read.text([unquote(name) for name in whole], wholetext=True).select(strip(F.col("value")).alias("line")))
-    return lines.where("line not in ('', 'null', 'None')")
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place")).where("line <> ''")
+    first = filled.groupBy("file").agg(F.min_by("line", F.struct("block", "place")).alias("first"))
+    base = F.when(F.col("first").startswith("[") & ~F.col("first").endswith("]"), 1).when(F.col("first") == "{", 0)
+    many, _ = storage.stage(first.select("file", base.alias("base")).where("base is not null"), "files")
+    found = many.limit(FEW_FILES + 1).count()
+    if not found:
+        return filled.select("line").where("line not in ('null', 'None')")
+    names = F.broadcast(many) if found <= FEW_FILES else many
+    lines = filled.join(names, "file", "left_anti").select("line").where("line not in ('null', 'None')")
+    return lines.unionByName(_records(filled.join(names, "file")))
 
 
 def read_raw_any(spark: SparkSession, path, fields: Sequence[str]) -> DataFrame:
     """Records of JSON lines, Python-literal lines and JSON arrays, on one line or over many: one text
-    column per field, and _keys, the names each record has. How a file is written is found file by
-    file. Blank lines, nulls and undecodable lines are left out."""
+    column per field, and _keys, the fields among MARKS that each record has, null or not. How a file is
+    written is found file by file. Blank lines, nulls and undecodable lines are left out.
+
+    A line is parsed once. Only one that is no JSON is read as a literal, and only one that names a mark
+    without giving it a value is parsed for its names."""
     record = "struct<" + ",".join(f"`{name}`:string" for name in fields) + ">"
+    marks = [name for name in MARKS if name in fields]
 
     def parsed(text, kind):
         return F.from_json(text, kind, {**_LENIENT, "mode": "PERMISSIVE"})
 
     line = F.col("line")
     tried = _texts(spark, path).select(
-        line, F.when(line.startswith("["), line).otherwise(F.concat(F.lit("["), line, F.lit("]"))).alias("text"))
-    # As a map first: it is null for text that is no JSON, and has the names of the record.
-    maps = "array<map<string,string>>"
-    known = tried.select("text", parsed(F.col("text"), maps).alias("maps"))
-    bad = F.col("maps").isNull() | F.exists("maps", lambda m: m.isNull())
-    known = known.withColumn("text", F.when(bad, _as_json(F.col("text"))).otherwise(F.col("text")))
-    known = known.withColumn("maps", F.when(bad, parsed(F.col("text"), maps)).otherwise(F.col("maps")))
-    rows = known.select(F.explode(F.arrays_zip("maps", parsed(F.col("text"), f"array<{record}>").alias("items"))).alias("row"))
-    return (rows.where("row.maps is not null and row.items is not null")
-            .select("row.items.*", F.map_keys("row.maps").alias(_KEYS)))
+        F.when(line.startswith("["), line).otherwise(F.concat(F.lit("["), line, F.lit("]"))).alias("text"))
+    # An array of records is null for text that is no JSON.
+    known = tried.withColumn("json", parsed(F.col("text"), f"array<{record}>"))
+    known = known.withColumn("items", F.coalesce("json", parsed(_as_json(F.col("text")), f"array<{record}>")))
+
+    def lacks(name):
+        return F.contains("text", F.lit(name)) & F.exists("items", lambda item: item[name].isNull())
+
+    unsure = reduce(Column.__or__, map(lacks, marks), F.lit(False))
+    text = F.when(F.col("json").isNull(), _as_json(F.col("text"))).otherwise(F.col("text"))
+    known = known.withColumn("maps", F.when(unsure, parsed(text, "array<map<string,string>>")))
+    given = lambda item: F.array_compact(F.array(*[F.when(item[n].isNotNull(), n) for n in marks]))
+    # Of a bare column Spark would infer a filter that parses once more.
+    items = F.coalesce("items", F.array().cast(f"array<{record}>"))
+    rows = known.select(F.posexplode(items).alias("k", "item"), "maps").where("item is not null")
+    keys = F.when(F.col("maps").isNull(), given(F.col("item"))).otherwise(F.map_keys(F.get("maps", F.col("k"))))
+    return rows.select("item.*", keys.alias(_KEYS))
 
 
 def _or_empty(*columns: str) -> Column:

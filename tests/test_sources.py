@@ -178,3 +178,45 @@ def test_seconds_with_decimals(spark, tmp_path):
     (tmp_path / "r.json").write_text('{"overall": 5, "unixReviewTime": 1588687728.0}\n{"overall": 4, "unixReviewTime": "1588687729"}\n')
     rows = legacy.normalize_reviews(legacy.read_raw_any(spark, str(tmp_path), legacy.REVIEW_FIELDS)).collect()
     assert sorted(r.timestamp for r in rows) == [1588687728000, 1588687729000]
+
+
+def test_records_over_many_lines_are_cut_by_depth(spark, tmp_path):
+    """Small splits, so that records and depths cross them; brackets and quotes inside strings."""
+    import json
+    rows = [{"overall": k, "asin": f"a{k}", "reviewText": ["plain", 'he said "[{" \\', "it's }, {", "]", ""][k % 5],
+             "helpful": [k, 9], "summary": None} for k in range(200)]
+    (tmp_path / "pretty.json").write_text(json.dumps(rows[:60], indent=2))
+    (tmp_path / "rows.json").write_text("[\n" + ",\n".join(json.dumps(r) for r in rows[60:100]) + "\n]\n")
+    (tmp_path / "shared.json").write_text("[" + json.dumps(rows[100]) + ",\n{\n" + json.dumps(rows[101])[1:] + ", "
+                                          + json.dumps(rows[102]) + ",\nnull, 7\n]")
+    (tmp_path / "objects.json").write_text("".join(json.dumps(r, indent=1) + "\n" for r in rows[103:150]))
+    (tmp_path / "literals.json").write_text("[\n" + ",\n".join(repr(r) for r in rows[150:190]) + "\n]")
+    (tmp_path / "torn.json").write_text(json.dumps(rows[190:], indent=2)[:-60])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        raw = legacy.read_raw_any(spark, str(tmp_path), legacy.REVIEW_FIELDS)
+        got = {r.asin: r for r in legacy.normalize_reviews(raw).collect()}
+        assert not any("pretty.json" in line for line in raw._jdf.queryExecution().toString().splitlines())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert set(got) == {r["asin"] for r in rows[:-1]}
+    for r in rows[:-1]:
+        mine = got[r["asin"]]
+        assert (mine.rating, mine.text, mine.helpful_vote, mine.title) == (float(r["overall"]), r["reviewText"], r["helpful"][0], "")
+
+
+def test_many_files_of_many_lines_need_no_list(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(legacy, "FEW_FILES", 1)
+    for k in range(3):
+        (tmp_path / f"a{k}.json").write_text('[\n{"overall": %d}\n]' % k)
+    (tmp_path / "lines.json").write_text('{"overall": 3}\n')
+    rows = legacy.normalize_reviews(legacy.read_raw_any(spark, str(tmp_path), legacy.REVIEW_FIELDS)).collect()
+    assert sorted(r.rating for r in rows) == [0.0, 1.0, 2.0, 3.0]
+
+
+def test_a_mark_named_in_a_text_is_no_mark(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"rating": 4, "text": "overall fine", "title": "x"}\n{"rating": 3, "overall": null}\n')
+    rows = {r.title: r for r in legacy.normalize_reviews(legacy.read_raw_any(spark, str(tmp_path), legacy.REVIEW_FIELDS)).collect()}
+    assert rows["x"].rating == 4.0 and rows["x"].asin is None
+    assert rows[""].rating is None and rows[""].asin == ""
