@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratings_engine.llm.common import staged
+from ratings_engine.sources import storage
 
 
 def _state(edges: DataFrame):
@@ -18,8 +18,8 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     Each round replaces edges by edges to smaller neighbours and writes them to the shared folder;
     minima are pre-aggregated and joined back, so a node of high degree is split like any skewed join."""
     u, v = F.col("u"), F.col("v")
-    edges = staged(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(u != v)
-                   .distinct(), "edges")
+    edges, path = storage.stage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(u != v)
+                                .distinct(), "edges")
     state = _state(edges)
     while True:
         both = edges.unionAll(edges.select(v.alias("u"), u.alias("v")))
@@ -28,7 +28,9 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(v.alias("u"), F.col("m").alias("v")).where(u != v)
                  .unionAll(least.select("u", F.col("m").alias("v"))).distinct())
-        edges = staged(small, "edges")
+        edges, written = storage.stage(small, "edges")
+        storage.delete(edges.sparkSession, path)
+        path = written
         before, state = state, _state(edges)
         if state == before:
             break

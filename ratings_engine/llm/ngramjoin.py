@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ratings_engine.llm.common import staged, summed
 from ratings_engine.llm.components import connected
 from ratings_engine.llm.text import mix, shingle_sets
+from ratings_engine.sources import storage
 
 #: Counters of the sketch (4 MB), whatever the corpus.
 SKETCH = 1 << 20
@@ -144,8 +145,8 @@ def _forest(percent: int):
     return verify
 
 
-def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classes: DataFrame) -> DataFrame:
-    """(a, b): links between classes that connect everything that links connect."""
+def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classes: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(a, b): links between classes that connect everything that links connect; the staged tables they read."""
     # Groups with one hash by accident would only be verified together.
     groups = classes.groupBy("group").agg(F.count("*").cast("int").alias("members"),
                                           F.first("n_shingles").cast("int").alias("n"), F.first("prefix").alias("prefix"))
@@ -156,7 +157,8 @@ def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classe
         F.sum("members").alias("weight"), F.min("place").alias("first"), F.bit_xor(F.xxhash64("group")).alias("c"),
         F.bit_xor(F.xxhash64("group", F.lit("d"))).alias("d")).where("weight > 1")
         .groupBy("weight", "c", "d").agg(F.min_by("shingle", "first").alias("shingle")).select("shingle", "weight"))
-    postings = staged(postings.join(weight, "shingle"), "postings")
+    spark = docs.sparkSession
+    postings, postings_path = storage.stage(postings.join(weight, "shingle"), "postings")
     member = classes.select("group", "class", "id")
 
     few = postings.where(F.col("weight") <= FEW)
@@ -170,13 +172,15 @@ def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classe
                     & (100 * F.col("x.n") >= percent * F.col("y.n")) & ((100 + percent) * room >= needed)
                     & ((F.col("x.group") != F.col("y.group")) | (F.col("x.members") > 1)))
              .select(F.col("x.group").alias("g"), F.col("y.group").alias("h")).distinct())
-    pairs = staged(pairs.join(member.select(F.col("group").alias("g"), F.col("class").alias("a"), F.col("id").alias("i")), "g")
+    pairs, pairs_path = storage.stage(pairs.join(member.select(F.col("group").alias("g"), F.col("class").alias("a"), F.col("id").alias("i")), "g")
                    .join(member.select(F.col("group").alias("h"), F.col("class").alias("b"), F.col("id").alias("j")), "h")
                    .where((F.col("g") != F.col("h")) | (F.col("a") < F.col("b"))).select("a", "i", "b", "j"), "pairs")
-    many = staged(postings.where(F.col("weight") > FEW).select("shingle", "group", "weight").join(member, "group"), "many")
+    many, many_path = storage.stage(
+        postings.where(F.col("weight") > FEW).select("shingle", "group", "weight").join(member, "group"), "many")
+    storage.delete(spark, postings_path)
     wanted = (pairs.select(F.col("a").alias("class"), F.col("i").alias("id"))
               .unionAll(pairs.select("b", "j")).unionAll(many.select("class", "id")).distinct())
-    sets = staged(_sets(docs, text, doc_id, n, wanted), "sets")
+    sets, sets_path = storage.stage(_sets(docs, text, doc_id, n, wanted), "sets")
     named = lambda c: sets.select(F.col("class").alias(c), F.col("set").alias(f"set_{c}"))
     common = F.size(F.array_intersect("set_a", "set_b"))
     alike = 100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)
@@ -190,7 +194,7 @@ def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classe
         lambda k: F.struct(F.least("block", k).alias("low"), F.greatest("block", k).alias("high")))).alias("unit"))
     rows = units.join(sets, "class").select("shingle", "unit.low", "unit.high", "class", "set")
     forest = rows.groupBy("shingle", "low", "high").applyInArrow(_forest(percent), "a binary, b binary")
-    return linked.unionAll(forest)
+    return linked.unionAll(forest), [pairs_path, many_path, sets_path]
 
 
 def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
@@ -201,12 +205,20 @@ def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5
     link with nothing; shorter texts than n words are one shingle. Repeated rows are rows of their
     own; a null id never names a component unless all its ids are null. An empty table gives no
     rows; other columns are left out."""
-    rows = staged(_features(docs, text, doc_id, n, percent), "shingles")
-    classes = staged(rows.where("n_shingles > 0").groupBy("class").agg(
+    spark = docs.sparkSession
+    features, features_path = storage.stage(_features(docs, text, doc_id, n, percent), "shingles")
+    rows = staged(features.select("doc_id", "n_shingles", "class"), "rows")
+    classes, classes_path = storage.stage(features.where("n_shingles > 0").groupBy("class").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("group").alias("group"),
         F.first("prefix").alias("prefix")), "classes")
-    roots = connected(_links(docs, text, doc_id, n, percent, classes), "a", "b")
-    rooted = (classes.select("class", "id").join(roots, F.col("class") == F.col("node"), "left")
+    # Tables with shingles go as soon as what follows from them is written.
+    storage.delete(spark, features_path)
+    links, paths = _links(docs, text, doc_id, n, percent, classes)
+    roots = connected(links, "a", "b")
+    ids = staged(classes.select("class", "id"), "ids")
+    for path in (classes_path, *paths):
+        storage.delete(spark, path)
+    rooted = (ids.join(roots, F.col("class") == F.col("node"), "left")
               .select("class", "id", F.coalesce("root", "class").alias("root")))
     named = (rooted.join(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "root")
              .select("class", "component_id"))

@@ -70,5 +70,5 @@ def test_near_duplicates_are_rows_not_ids(spark, tables):
 
 
 def test_registered_names():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert len(corpus_pipeline.STAGES) == 5
