@@ -164,8 +164,8 @@ def src_corrupt_dropped(spark, sf_dir):
 @query
 def src_cap_per_category(spark, sf_dir):
     rows = b.reviews(spark, sf_dir)
-    return legacy.cap_per_category(rows, legacy.ROWS_PER_CATEGORY, [
-        F.asc("timestamp"), *(F.asc(c) for c in rows.columns if c != "timestamp")])
+    return legacy.cap_per_category(rows, legacy.ROWS_PER_CATEGORY, "timestamp", [
+        F.asc(c) for c in rows.columns if c != "timestamp"])
 
 
 # --- Silver ---------------------------------------------------------------------------------
@@ -197,7 +197,7 @@ def silver_price_parse(spark, sf_dir):
 def silver_enrich(spark, sf_dir):
     keyed = sv.with_review_id(b.reviews(spark, sf_dir))
     unique = sv.dedup_latest(keyed, ["review_id"], sv.newest_first(keyed, ["review_id"]))
-    products = sv.prepare_metadata(b.metadata(spark, sf_dir))
+    products = sv.prepare_metadata(sv.of_reviewed_products(b.metadata(spark, sf_dir), keyed))
     return sv.enrich(unique, products).select(
         "review_id", "parent_asin", "category", "product_title", "main_category",
         "product_avg_rating", "price")

@@ -70,6 +70,26 @@ def is_small_enough(stored_bytes: int) -> bool:
     return stored_bytes <= BROADCAST_BYTES
 
 
+# Product keys of a batch that travel to every task: their number and their bytes.
+FEW_PRODUCTS = 500_000
+FEW_PRODUCT_BYTES = 32 * 1024 * 1024
+
+
+def of_reviewed_products(metadata: DataFrame, reviews: DataFrame, few: int = FEW_PRODUCTS) -> DataFrame:
+    """The metadata rows of products that the reviews name; all rows where they name very many.
+
+    The reviews' distinct keys are counted and sized first and broadcast only below both limits, so
+    rows of other products never reach the shuffle of the metadata's own deduplication. Enrichment
+    gives the same rows either way. A batch that names more products needs most of the metadata anyway."""
+    named = reviews.select(*PRODUCT_KEY).where(
+        F.col("parent_asin").isNotNull() & F.col("category").isNotNull()).distinct()
+    found = named.limit(few + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(
+        F.octet_length("parent_asin") + F.octet_length("category") + 32), F.lit(0)).alias("bytes")).first()
+    if found.n > few or found.bytes > FEW_PRODUCT_BYTES:
+        return metadata
+    return metadata.join(F.broadcast(named), list(PRODUCT_KEY), "left_semi")
+
+
 def build_silver(reviews: DataFrame, metadata: DataFrame,
                  small_metadata: bool = False) -> DataFrame:
     """Bronze reviews and metadata to the Silver columns. Duplicates go before the join."""

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, DateType, NumericType, StringType, StructType, TimestampType
 
 from ratings_engine import schemas
 from ratings_engine.functions.columns import strip
@@ -222,19 +222,74 @@ def normalize_metadata(df: DataFrame) -> DataFrame:
     }))
 
 
-# Rounds of the cap: how many groups a category is split into, round by round.
+# Rounds of the ranking of equal keys: how many groups a category is split into, round by round.
 CAP_ROUNDS = (4096, 64, 1)
-
-
-def cap_per_category(df: DataFrame, n: int | None, order: Sequence[Column],
-                     rounds: Sequence[int] = CAP_ROUNDS) -> DataFrame:
-    """The first n rows of each category in the given order; None keeps everything.
+#: Shares of a category that its sketch gives a key for, and the sketch's accuracy: a rank is off by
+#: at most rows / SKETCH.
+SHARES = [2.0 ** -k for k in range(12, -1, -1)]
+SKETCH = 10_000
+#: Candidates of a category up to which no further sketch is drawn, and sketches at most.
+ENOUGH_ROWS = 200_000
+SKETCH_ROUNDS = 3
+SKETCHED = (NumericType, DateType, TimestampType)
+
+
+def _bounds(rows: DataFrame, n: int) -> DataFrame:
+    """(category, bound, upto): a key below which at least n rows of the category lie, and how many
+    do; null where the category has no such key but its last."""
+    total = rows.groupBy("category").agg(
+        F.count("key").alias("keys"), F.count("*").alias("total"),
+        F.percentile_approx("key", [float(s) for s in SHARES], SKETCH).alias("guesses"))
+    share = F.array(*[F.lit(s) for s in SHARES])
+    wide = F.filter(F.arrays_zip(share.alias("share"), F.col("guesses").alias("guess")),
+                    lambda x: x["share"] * F.col("keys") >= n + 2 * F.col("keys") / SKETCH + 1)
+    guessed = total.select("category", "total", F.get(wide, F.lit(0))["guess"].alias("bound"))
+    within = F.col("key").isNull() | F.col("bound").isNull() | (F.col("key") <= F.col("bound"))
+    counted = _with(rows, guessed).groupBy("category").agg(
+        F.first("total").alias("total"), F.first("bound").alias("bound"), F.count_if(within).alias("upto"))
+    # The sketch only proposes: a bound counts if the exact number of rows says so.
+    holds = F.col("upto") >= F.least(F.lit(n), F.col("total"))
+    return counted.select("category", F.when(holds, F.col("bound")).alias("bound"),
+                          F.when(holds, F.col("upto")).otherwise(F.col("total")).alias("upto"))
+
+
+def _with(rows: DataFrame, by_category: DataFrame) -> DataFrame:
+    """rows with the columns of the one row of their category; null where it has none."""
+    return rows.join(by_category.withColumnRenamed("category", "_of"),
+                     F.col("category").eqNullSafe(F.col("_of")), "left").drop("_of")
+
+
+def _last_keys(rows: DataFrame, n: int) -> DataFrame:
+    """(category, last, room, equal): the key of the category's n-th row, how many rows with this key
+    are among the first n, and how many there are. No row for a category of fewer than n rows.
+
+    rows: category and key. Sketches narrow them down to a few times n; only these are counted by key."""
+    staged = []
+    try:
+        for _ in range(SKETCH_ROUNDS):
+            bounds, path = storage.stage(_bounds(rows, n), "bounds")
+            staged.append(path)
+            rows = _with(rows, bounds).where(
+                F.col("key").isNull() | F.col("bound").isNull() | (F.col("key") <= F.col("bound"))).select("category", "key")
+            if bounds.where(F.col("upto") > F.greatest(F.lit(ENOUGH_ROWS), F.lit(4 * n))).isEmpty():
+                break
+        by_key = Window.partitionBy("category").orderBy(F.asc("key"))
+        counts = rows.groupBy("category", "key").agg(F.count("*").alias("equal"))
+        last = (counts.withColumn("_upto", F.sum("equal").over(by_key))
+                .withColumn("room", n - F.col("_upto") + F.col("equal"))
+                .where((F.col("_upto") >= n) & (F.col("room") > 0)))
+        return storage.stage(last.select("category", F.col("key").alias("last"), "room", "equal"), "last")[0]
+    finally:
+        for path in staged:
+            storage.delete(rows.sparkSession, path)
+
+
+def _first_rows(df: DataFrame, n: Column, order: Sequence[Column], rounds: Sequence[int]) -> DataFrame:
+    """The first n rows of each category, by ranking whole rows.
 
     A category is cut in rounds: first in many hashed groups, then in few, then as a whole. A
     row among the first n of its category is among the first n of each group it passes, so the
     result is exact, and no task sorts more than a share of a large category."""
-    if n is None:
-        return df
     # The input partition is part of the hash, so exact copies do not all share a group.
     columns = df.columns
     df = df.withColumn("_group", F.xxhash64(*columns, F.spark_partition_id()))
@@ -243,3 +298,39 @@ def cap_per_category(df: DataFrame, n: int | None, order: Sequence[Column],
         position = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         df = df.withColumn("_position", position).where(F.col("_position") <= n)
     return df.select(*columns)
+
+
+def cap_per_category(df: DataFrame, n: int | None, key: str, then: Sequence[Column] = (),
+                     rounds: Sequence[int] = CAP_ROUNDS) -> DataFrame:
+    """The first n rows of each category by key, nulls first, and for equal keys in the order of then;
+    None keeps everything.
+
+    The key of each category's n-th row is found on categories and keys alone. Whole rows are then
+    filtered where they are read: those with a smaller key stay. Only where more rows have exactly
+    this key than there is room for are these rows ranked, so texts cross no shuffle otherwise. Keys
+    that are no numbers, dates or times have no sketch; whole rows are ranked by them.
+
+    df is read three times or four; a table or files, not a costly plan."""
+    if n is None:
+        return df
+    if n <= 0:
+        return df.where(F.lit(False))
+    if not isinstance(df.schema[key].dataType, SKETCHED):
+        return _first_rows(df, F.lit(n), [F.asc(key), *then], rounds)
+    narrow, path = storage.stage(df.select("category", F.col(key).alias("key")), "cap")
+    try:
+        last = _last_keys(narrow, n)
+    finally:
+        storage.delete(df.sparkSession, path)
+    crowded = F.col("equal") > F.col("room")
+    limits = last.select("category", F.col("last").alias("_last"), F.col("room").alias("_room"),
+                         crowded.alias("_crowded"))
+    limited = _with(df, limits)
+    equal = F.col(key).eqNullSafe(F.col("_last"))
+    smaller = F.coalesce(F.col(key) < F.col("_last"), F.col(key).isNull() & F.col("_last").isNotNull())
+    whole = limited.where(F.col("_room").isNull() | smaller | (equal & ~F.col("_crowded"))).select(*df.columns)
+    if last.where(crowded).isEmpty():
+        return whole
+    ranked = _first_rows(limited.where(equal & F.col("_crowded")).drop("_last", "_crowded"), F.col("_room"),
+                         list(then) or [F.asc(key)], rounds)
+    return whole.unionAll(ranked.select(*df.columns))

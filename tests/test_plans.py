@@ -10,7 +10,8 @@ from tests.builders import bronze_metadata, bronze_reviews, silver
 from ratings_engine import schemas
 from ratings_engine.operators import bi, gold
 from ratings_engine.operators.bundle import review_bundle
-from ratings_engine.operators.silver import build_silver, dedup_latest, enrich, newest_first
+from ratings_engine.operators.silver import (
+    build_silver, dedup_latest, enrich, newest_first, of_reviewed_products, prepare_metadata)
 from ratings_engine.operators.upsert import upsert_table
 from ratings_engine.sources import storage, tables
 
@@ -74,6 +75,20 @@ def test_small_metadata_is_broadcast_and_reviews_are_shuffled_once(spark):
     assert count(lines, "Exchange") == 2
 
 
+def test_metadata_of_other_products_does_not_reach_a_shuffle(spark):
+    reviews = bronze_reviews(spark, dict(parent_asin="P1"), dict(parent_asin=None), dict(parent_asin="gone"))
+    metadata = bronze_metadata(spark, *[dict(parent_asin=f"P{i}") for i in range(20)])
+    reduced = of_reviewed_products(metadata, reviews)
+    assert [r.parent_asin for r in reduced.collect()] == ["P1"]
+    kinds = [line.split(" ")[0] for line in plan(prepare_metadata(reduced))]
+    # The filter lies below the one shuffle, on the side that carries the metadata.
+    assert "BroadcastHashJoin" in kinds[kinds.index("Exchange"):]
+    assert kinds[:kinds.index("BroadcastHashJoin")].count("Exchange") == 1
+    assert of_reviewed_products(metadata, reviews, few=0) is metadata
+    both = [sorted(map(str, build_silver(reviews, m).collect())) for m in (metadata, reduced)]
+    assert both[0] == both[1]
+
+
 def test_a_hot_product_is_split_when_metadata_is_large(spark):
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.shuffle.partitions": "8",

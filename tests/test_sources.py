@@ -1,4 +1,6 @@
 import gzip
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,16 +138,46 @@ def test_cap_keeps_the_first_rows_of_each_category(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("category"),
         (F.col("id") * 7919 % 3000).alias("v"))
-    got = legacy.cap_per_category(df, 50, [F.asc("v")], rounds=(16, 4, 1))
+    got = legacy.cap_per_category(df, 50, "v")
     want = [(c, v) for c in ("cold", "hot")
             for v in sorted(r.v for r in df.where(F.col("category") == c).collect())[:50]]
     assert rows_of(got) == sorted(want)
-    assert legacy.cap_per_category(df, None, []) is df
+    assert legacy.cap_per_category(df, None, "v") is df
 
 
 def test_cap_with_many_equal_rows(spark):
     df = spark.range(500).select(F.lit("c").alias("category"), F.lit(1).alias("v"))
-    assert legacy.cap_per_category(df, 20, [F.asc("v")]).count() == 20
+    assert legacy.cap_per_category(df, 20, "v").count() == 20
+    assert legacy.cap_per_category(df, 0, "v").count() == 0
+    assert legacy.cap_per_category(df.where("v = 2"), 20, "v").count() == 0
+    assert legacy.cap_per_category(df.withColumn("v", F.lit("x")), 20, "v", rounds=(4, 1)).count() == 20
+
+
+def test_cap_with_null_and_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(legacy, "ENOUGH_ROWS", 10)
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([None, *range(12)]) if rng.random() < 0.5
+             else float(rng.randint(0, 10 ** 6)), i) for i in range(6000)]
+    rows += [("few", float(i), i) for i in range(5)] + [("nulls", None, i) for i in range(90)]
+    df = spark.createDataFrame([(c, None if k is None else float(k), i) for c, k, i in rows],
+                               "category string, k double, i long")
+    by_key = lambda r: (r[1] is not None, r[1] or 0.0, r[2])
+    for n in (1, 40, 700, 5000):
+        want = Counter()
+        for category in {c for c, _, _ in rows}:
+            want += Counter(r[2] for r in sorted((r for r in rows if r[0] == category), key=by_key)[:n])
+        got = legacy.cap_per_category(df, n, "k", [F.asc("i")], rounds=(4, 1))
+        assert Counter(r.i for r in got.collect()) == want
+        assert got.columns == df.columns
+
+
+def test_cap_moves_no_texts(spark):
+    df = spark.range(0, 5000, 1, 4).select(F.lit("c").alias("category"), F.col("id").alias("v"),
+                                           F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    got = legacy.cap_per_category(df, 100, "v")
+    steps = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not any("Exchange" in x and "Broadcast" not in x for x in steps)
+    assert got.count() == 100
 
 
 def test_each_file_of_a_folder_by_its_own_encoding(spark, tmp_path):
