@@ -50,19 +50,19 @@ _SHARES = {
     "repeats": "1000 * n_repeat_words // greatest(n_words, 1)",
     "word_length": "100 * word_chars // greatest(n_words, 1)"}
 _MEASURES = " union all ".join(
-    f"select doc_id, lang, source, '{name}' as measure, {value} as value, {up} as up, {low} as low from counts"
-    for (name, value), (up, low) in zip(_SHARES.items(), ((20, None), (100, None), (100, None), (200, 200)),
-                                        strict=True)).replace("None", "null")
+    f"select doc_id, lang, source, '{name}' as measure, {value} as value from counts"
+    for name, value in _SHARES.items())
 _CUT = "greatest(length(ltrim(bin(value), '0')) - 6, 0)::int"
 
 
 def _level(name: str, group: str) -> str:
-    """Quartiles of the values rounded down to six leading bits, by group."""
+    """Quantiles of the values rounded down to six leading bits, by group."""
     by = f"{group}, " if group else ""
     return f"""{name} as (
-    select {by}measure, any_value(total) as documents, any_value(up) as up, any_value(low) as low,
-           min(case when 4 * place >= total then bucket end) as q1,
-           min(case when 4 * place >= 3 * total then bucket end) as q3
+    select {by}measure, any_value(total) as documents,
+           min(case when 100 * place >= total then bucket end) as low,
+           min(case when 100 * place >= 50 * total then bucket end) as middle,
+           min(case when 100 * place >= 99 * total then bucket end) as high
     from (select *, row_number() over (partition by {by}measure order by bucket) as place,
                  count(*) over (partition by {by}measure) as total from measures)
     group by {by}measure)"""
@@ -88,8 +88,15 @@ measures as (select *, (value >> {_CUT}) << {_CUT} as bucket from ({_MEASURES}))
 {_level("own", "lang, source")}, {_level("by_lang", "lang")}, {_level("overall", "")},
 fences as (
     select o.lang, o.source, o.measure,
-           case when o.documents >= 100 then o.q1 when l.documents >= 100 then l.q1 else a.q1 end as q1,
-           case when o.documents >= 100 then o.q3 when l.documents >= 100 then l.q3 else a.q3 end as q3
+           case when o.documents >= 100 then o.high when l.documents >= 100 then l.high else a.high end
+           + coalesce(case when o.documents >= 100 then nullif(o.high - o.middle, 0) end,
+                      case when l.documents >= 100 then nullif(l.high - l.middle, 0) end,
+                      nullif(a.high - a.middle, 0)) as high,
+           case when o.measure = 'word_length' then
+               case when o.documents >= 100 then o.low when l.documents >= 100 then l.low else a.low end
+               - coalesce(case when o.documents >= 100 then nullif(o.middle - o.low, 0) end,
+                          case when l.documents >= 100 then nullif(l.middle - l.low, 0) end,
+                          nullif(a.middle - a.low, 0)) end as low
     from own o join by_lang l on o.lang is not distinct from l.lang and o.measure = l.measure
     join overall a on o.measure = a.measure),
 failed as (
@@ -97,7 +104,7 @@ failed as (
                when 'dup_lines' then 2 when 'repeats' then 3 else 4 end) as failed
     from measures m join fences f on m.lang is not distinct from f.lang
         and m.source is not distinct from f.source and m.measure = f.measure
-    where m.value > q3 + greatest(3 * (q3 - q1), up) or m.value < q1 - greatest(3 * (q3 - q1), low)
+    where m.bucket > high or m.bucket < low
     group by m.doc_id)
 select c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_failed, coalesce(failed, '') as failed,

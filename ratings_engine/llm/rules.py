@@ -3,7 +3,10 @@
 Every (language, source) keeps a quantile sketch per measure: counts of values rounded down to
 their six leading bits, so a quantile is at most 1/32 too low. Sketches merge by adding counts: per
 task, per group, and from groups with few documents up to their language and to all documents.
-A document is kept if each measure lies within the fences of its group.
+A document is kept if each measure lies within the fences of its group: as far beyond the 99% quantile
+as that lies from the median, and likewise below the 1% quantile. No constant sets a fence. Where a
+group's upper quantiles are equal, so that they give no distance, its language's distance counts, then
+that of all documents; a measure equal in nearly all documents has no fence.
 """
 
 from __future__ import annotations
@@ -19,10 +22,13 @@ MAX_REPEAT_PERCENT = 30
 SYMBOLS = r"[#*$%&|<>]"
 #: A group with fewer documents uses the sketch of its language, then of all documents.
 MIN_GROUP = 100
-#: Distance of a fence from the quartiles, in interquartile ranges.
-REACH = 3
-#: Measure -> least distance of the upper and the lower fence from the quartiles; none: no such fence.
-SLACK = {"symbols": (20, None), "dup_lines": (100, None), "repeats": (100, None), "word_length": (200, 200)}
+#: Per cent of a group's documents that lie at or below the quantiles a fence is made of.
+LOW, MIDDLE, HIGH = 1, 50, 99
+#: Distance of a fence from the outer quantile, in distances of that from the median.
+REACH = 1
+#: Measures, and those of them that can also be too low.
+MEASURES = ("symbols", "dup_lines", "repeats", "word_length")
+TWO_SIDED = ("word_length",)
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -78,46 +84,58 @@ def _measures() -> Column:
     values = {"symbols": share("n_symbols", "word_chars"), "dup_lines": share("n_dup_lines", "n_lines"),
               "repeats": share("n_repeat_words", "n_words"),
               "word_length": F.floor(100 * F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)))}
-    return F.array(*[F.struct(F.lit(name).alias("measure"), values[name].alias("value")) for name in SLACK])
+    return F.array(*[F.struct(F.lit(name).alias("measure"), values[name].alias("value")) for name in MEASURES])
+
+
+def rounded(value: Column) -> Column:
+    """A whole number down to its six leading bits."""
+    cut = F.greatest(F.length(F.bin(value)) - 6, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", value, cut), cut)
 
 
 def sketches(rows: DataFrame) -> DataFrame:
     """(lang, source, measures) -> counts per lang, source, measure and rounded value."""
-    cut = F.greatest(F.length(F.bin("value")) - 6, F.lit(0))
     return (rows.select("lang", "source", F.explode("measures").alias("m")).select("lang", "source", "m.*")
-            .withColumn("bucket", F.call_function("shiftleft", F.call_function("shiftright", F.col("value"), cut), cut))
+            .withColumn("bucket", rounded(F.col("value")))
             .groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n")))
 
 
-def fences(sketch: DataFrame, group: list[str]) -> DataFrame:
-    """Merge sketches to the given group columns; documents, and lower and upper fence by measure."""
+def quantiles(sketch: DataFrame, group: list[str]) -> DataFrame:
+    """Merge sketches to the given group columns; documents, and by measure the low, middle and high quantile."""
     merged = sketch.groupBy(*group, "measure", "bucket").agg(F.sum("n").alias("n"))
     by_value = Window.partitionBy(*group, "measure").orderBy("bucket")
     whole = Window.partitionBy(*group, "measure")
-    quartile = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("bucket")))
+    at = lambda k: F.min(F.when(100 * F.col("upto") >= k * F.col("total"), F.col("bucket")))
     limits = (merged.withColumn("upto", F.sum("n").over(by_value)).withColumn("total", F.sum("n").over(whole))
               .groupBy(*group, "measure")
-              .agg(F.first("total").alias("documents"), quartile(1).alias("q1"), quartile(3).alias("q3")))
-    reach = REACH * (F.col("q3") - F.col("q1"))
-    upper = F.create_map(*[x for name, (up, _) in SLACK.items() for x in (F.lit(name), F.lit(up))])
-    lower = F.create_map(*[x for name, (_, low) in SLACK.items() for x in (F.lit(name), F.lit(low).cast("int"))])
+              .agg(F.first("total").alias("documents"), at(LOW).alias("low"), at(MIDDLE).alias("middle"),
+                   at(HIGH).alias("high")))
     return (limits.groupBy(*group).agg(
         F.first("documents").alias("documents"),
-        F.map_from_entries(F.collect_list(F.struct("measure", F.struct(
-            (F.col("q1") - F.greatest(reach, lower[F.col("measure")])).alias("low"),
-            (F.col("q3") + F.greatest(reach, upper[F.col("measure")])).alias("high"))))).alias("limits")))
+        F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "middle", "high")))).alias("limits")))
 
 
 def thresholds(sketch: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """Fences per (lang, source), from the smallest group with enough documents."""
-    own = fences(sketch, ["lang", "source"]).alias("own")
-    by_lang = fences(sketch, ["lang"]).alias("by_lang")
-    overall = fences(sketch.withColumn("all", F.lit(1)), ["all"]).alias("overall")
-    enough = lambda level: F.when(F.col(f"{level}.documents") >= min_group, F.col(f"{level}.limits"))
+    """Fences per (lang, source): quantiles of the smallest group with enough documents, distances of the
+    smallest such group that has one. A fence is null where no level has a distance."""
+    own = quantiles(sketch, ["lang", "source"]).alias("own")
+    by_lang = quantiles(sketch, ["lang"]).alias("by_lang")
+    overall = quantiles(sketch.withColumn("all", F.lit(1)), ["all"]).alias("overall")
+    levels = [F.when(F.col("own.documents") >= min_group, F.col("own.limits")),
+              F.when(F.col("by_lang.documents") >= min_group, F.col("by_lang.limits")), F.col("overall.limits")]
+
+    def fence(measure: str) -> Column:
+        found = [level[measure] for level in levels]
+        base = F.coalesce(*found)
+        up = F.coalesce(*(F.nullif(x["high"] - x["middle"], F.lit(0)) for x in found))
+        down = F.coalesce(*(F.nullif(x["middle"] - x["low"], F.lit(0)) for x in found))
+        low = base["low"] - REACH * down if measure in TWO_SIDED else F.lit(None).cast("bigint")
+        return F.struct(low.alias("low"), (base["high"] + REACH * up).alias("high"))
+
+    limits = F.create_map(*[x for name in MEASURES for x in (F.lit(name), fence(name))])
     return (own.join(by_lang, same(F.col("own.lang"), F.col("by_lang.lang")))
             .withColumn("all", F.lit(1)).join(overall, "all")
-            .select("own.lang", "own.source",
-                    F.coalesce(enough("own"), enough("by_lang"), F.col("overall.limits")).alias("limits")))
+            .select("own.lang", "own.source", limits.alias("limits")))
 
 
 def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang",
@@ -132,8 +150,8 @@ def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str
     limits = thresholds(sketches(rows), min_group).alias("t")
     failed = F.transform(
         F.filter("measures", lambda m: F.coalesce(
-            (m["value"] < F.col("t.limits")[m["measure"]]["low"])
-            | (m["value"] > F.col("t.limits")[m["measure"]]["high"]), F.lit(False))),
+            rounded(m["value"]) < F.col("t.limits")[m["measure"]]["low"], F.lit(False)) | F.coalesce(
+            rounded(m["value"]) > F.col("t.limits")[m["measure"]]["high"], F.lit(False))),
         lambda m: m["measure"])
     return (rows.alias("d").join(limits, same(F.col("d.lang"), F.col("t.lang"))
                                  & same(F.col("d.source"), F.col("t.source")), "left")

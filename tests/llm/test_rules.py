@@ -37,17 +37,33 @@ def test_outliers_of_a_group_go_and_others_stay(spark):
     assert not got[900].kept and "symbols" in got[900].failed and not got[902].kept
 
 
-def test_sketches_merge_to_the_same_quartiles(spark):
+def test_sketches_merge_to_the_same_quantiles(spark):
     values = [(lang, source, int(v)) for lang in "ab" for source in "xyz" for v in range(1, 500)]
     rows = spark.createDataFrame(values, "lang string, source string, v long").select(
         "lang", "source", F.array(F.struct(F.lit("symbols").alias("measure"), F.col("v").alias("value"))).alias("measures"))
     sketch = rules.sketches(rows)
     by_source = defaultdict(set)
-    for r in rules.fences(sketch, ["lang", "source"]).unionByName(
-            rules.fences(sketch, ["lang"]).withColumn("source", F.lit(None)), allowMissingColumns=True).collect():
+    for r in rules.quantiles(sketch, ["lang", "source"]).unionByName(
+            rules.quantiles(sketch, ["lang"]).withColumn("source", F.lit(None)), allowMissingColumns=True).collect():
         by_source[r.lang].add((r.limits["symbols"].low, r.limits["symbols"].high))
     assert len(by_source["a"] | by_source["b"]) == 1
 
 
+def test_each_fence_moves_with_its_group(spark):
+    """Two groups with other values get other fences for every measure; ten times the values, about ten times the fence."""
+    rows = [(source, m, scale * (10 + i % 50)) for source, scale in (("calm", 1), ("wild", 10)) for i in range(300)
+            for m in rules.MEASURES] + [("flat", m, 7) for m in rules.MEASURES for _ in range(300)]
+    table = spark.createDataFrame([("en", s, m, int(v)) for s, m, v in rows], "lang string, source string, measure string, value long")
+    sketch = rules.sketches(table.select("lang", "source", F.array(F.struct("measure", "value")).alias("measures")))
+    got = {r.source: r.limits for r in rules.thresholds(sketch).collect()}
+    for m in rules.MEASURES:
+        calm, wild, flat = got["calm"][m].high, got["wild"][m].high, got["flat"][m].high
+        assert 59 < calm < 120 and 8 * calm < wild < 12 * calm and 7 < flat
+        assert (got["calm"][m].low is None) == (m not in rules.TWO_SIDED)
+    assert got["wild"]["word_length"].low != got["calm"]["word_length"].low
+    alone = rules.sketches(table.where("source = 'flat'").select("lang", "source", F.array(F.struct("measure", "value")).alias("measures")))
+    assert all(x.high is None for x in rules.thresholds(alone).first().limits.values())
+
+
 def test_no_rows(none):
     assert rules.judge(none).count() == 0
