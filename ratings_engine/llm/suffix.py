@@ -193,8 +193,8 @@ def _last_before(rows: DataFrame, value: str, order: list[Column]) -> Column:
     return rows.join(starts, "part").withColumn("last", F.greatest(F.col("carried"), F.coalesce(inside, F.lit(-1))))
 
 
-def _sort_small(rows: DataFrame) -> DataFrame:
-    """(pos, rank) of at most SMALL symbols, by doubling in one task."""
+def _sort_small(rows: DataFrame, depth: int) -> DataFrame:
+    """(pos, rank) of at most SMALL symbols by their first depth symbols, by doubling in one task."""
 
     def ranked(batches):
         table = pa.Table.from_batches(batches, schema=pa.schema([("pos", pa.int64()), ("sym", pa.int64())]))
@@ -202,7 +202,7 @@ def _sort_small(rows: DataFrame) -> DataFrame:
         order = np.argsort(pos)
         pos, rank = pos[order], np.unique(sym[order], return_inverse=True)[1] + 1
         step = 1
-        while len(pos) and rank.max() < len(pos) and step <= 4 * LENGTH:
+        while len(pos) and rank.max() < len(pos) and step <= 4 * depth:
             there = np.searchsorted(pos, pos + step)
             there = np.where((there < len(pos)) & (pos[np.minimum(there, len(pos) - 1)] == pos + step), there, -1)
             pairs = rank * (len(pos) + 2) + np.where(there >= 0, rank[there], 0)
@@ -220,7 +220,7 @@ def suffix_ranks(symbols: DataFrame, depth: int = LENGTH, covered: int = 1, smal
         return symbols.select("pos", F.col("sym").alias("rank"))
     size = symbols.count()
     if size <= small:
-        return _sort_small(symbols.select("pos", "sym"))
+        return _sort_small(symbols.select("pos", "sym"), depth)
     near = _behind(symbols.select("pos", "sym"), {"s1": ("sym", 1), "s2": ("sym", 2)})
     triples = _numbered(near.where(F.col("pos") % 3 != 0), "sym", "s1", "s2")
     of_triple = Window.partitionBy("sym", "s1", "s2")

@@ -66,3 +66,15 @@ def test_no_rows_and_no_repeats(spark, none):
     assert suffix.remove_repeats(none).count() == 0
     docs = spark.createDataFrame([(1, "short"), (2, "z" * 10 + "".join(map(str, range(300))))], "doc_id long, text string")
     assert [r.n_removed for r in suffix.remove_repeats(docs, length=LENGTH, gram=8).collect()] == [0, 0]
+
+
+def test_strings_longer_than_the_default_depth(spark):
+    """Equal strings of 7,000 bytes are found whatever lies beside them in suffix order."""
+    rng = random.Random(6)
+    unit = "".join(rng.choice("ab") for _ in range(2500))
+    long = unit * 2 + "".join(rng.choice("ab") for _ in range(2000))
+    near = [unit * 2 + "".join(rng.choice("ab") for _ in range(2000)) for _ in range(3)]
+    rows = [(1, long + "X"), (2, "Y" + long), *[(10 + i, t) for i, t in enumerate(near)]]
+    got = {r.doc_id: r.n_removed for r in suffix.remove_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string"), length=6990).collect()}
+    assert got == {1: 7000, 2: 7000, 10: 0, 11: 0, 12: 0}
