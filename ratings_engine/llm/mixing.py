@@ -7,7 +7,9 @@ documents ordered by the exponential key -ln(u) / quality, taken while their run
 stays within the rest of the target.
 
 The running sums are computed per (source, range of keys) and over the sums of these ranges, so no
-task holds a whole source.
+task holds a whole source. Keys of a document of quality q are exponential with rate q, so a source's
+counts of documents by quality give the distribution of its keys, and ranges equal in it hold about
+equally many documents, whatever the qualities.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from ratings_engine.llm.common import WORD, staged
 MAX_COPIES = 3
 WEIGHT_CYCLE = 3
 ROWS_PER_RANGE = 2000
+#: Levels of quality for each factor of e, of which a source's distribution of keys is made.
+LEVELS = 16
 SYMBOLS = r"[#*$%&|<>]"
 
 RESULT = ("size", "source_size", "target", "epochs", "sampled", "taken")
@@ -38,6 +42,19 @@ def exponential_key(doc_id: Column, quality: Column, seed: str) -> Column:
     return -F.log((drawn + 1) / F.lit(2.0 ** 52)) / quality
 
 
+def _with_ranges(rows: DataFrame, rows_per_range: int) -> DataFrame:
+    """rows with range: a number that grows with draw, for about rows_per_range rows of a source.
+
+    The share of a source's keys up to x is the mean of 1 - exp(-q x) over its documents. Sums in one
+    order of terms that grow with x grow with x, so ranges follow the keys exactly."""
+    levels = rows.groupBy("key", "level").agg(F.count("*").alias("n"))
+    by_key = staged(levels.groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct(F.exp(F.col("level") / LEVELS).alias("rate"), "n"))).alias("rates")), "rates")
+    upto = F.aggregate("rates", F.lit(0.0), lambda total, x: total + x["n"] * (1 - F.exp(-x["rate"] * F.col("draw"))))
+    return (rows.join(by_key, "key")
+            .withColumn("range", F.floor(upto / rows_per_range)).drop("rates", "level"))
+
+
 def source_targets(sizes: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
     """(key, source, source_size) -> with target. Sources by code point, null last, weigh 1, 2, 3, ...
 
@@ -68,7 +85,6 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     documents with equal keys; ties go by id, then size. An empty table gives no rows. Input columns
     named like a result column give way to it; all others are kept. Running it again on the same
     rows gives the same result."""
-    ranges = max(1, -(-docs.count() // rows_per_range))
     words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("bigint")
     weight = symbol_quality(F.col(text)) if quality is None else quality
     carried = [c for c in docs.columns if c not in RESULT]
@@ -76,9 +92,9 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
         F.struct(*carried).alias("row"), F.col(doc_id).alias("id"), F.col(source).alias("source"),
         # Null apart from every name, so that it can be a join key.
         F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("key"),
-        words.alias("size"), exponential_key(F.col(doc_id), weight, seed).alias("draw"))
-        # For equal weights each range gets the same number of rows; weights shift that by little.
-        .withColumn("range", F.floor((1 - F.exp(-F.col("draw"))) * F.lit(ranges))), "mix")
+        words.alias("size"), exponential_key(F.col(doc_id), weight, seed).alias("draw"),
+        F.round(LEVELS * F.log(weight)).cast("int").alias("level")), "mix")
+    rows = _with_ranges(rows, rows_per_range)
 
     sums = rows.groupBy("key", "range").agg(F.first("source").alias("source"),
                                             F.sum("size").alias("range_size"))

@@ -62,3 +62,16 @@ def test_no_rows_and_clashing_names(none, awkward):
     got = mixing.mix(clash)
     assert got.columns.count("size") == 1 and dict(got.dtypes)["size"] == "bigint"
     assert {(r.key, r.range, r.id) for r in got.collect()} == {(1, 2, 3)}
+
+
+def test_ranges_hold_about_equally_many_rows_whatever_the_quality(spark):
+    docs = spark.range(0, 8000, 1, 4).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 7000, "hot").otherwise("b").alias("source"),
+                                             F.lit("w").alias("text"))
+    quality = F.when(F.col("doc_id") % 2 == 0, 0.1).otherwise(1.0)
+    rows = docs.select(F.col("source").alias("key"), F.round(mixing.LEVELS * F.log(quality)).cast("int").alias("level"),
+                       mixing.exponential_key(F.col("doc_id"), quality, "s").alias("draw"))
+    got = mixing._with_ranges(rows, 500)
+    counts = got.groupBy("key", "range").agg(F.count("*").alias("n"), F.min("draw").alias("low"), F.max("draw").alias("high")).collect()
+    hot = sorted((r for r in counts if r.key == "hot"), key=lambda r: r.range)
+    assert len(hot) == 14 and max(r.n for r in counts) < 700
+    assert all(a.high < b.low for a, b in zip(hot, hot[1:]))
