@@ -1,7 +1,7 @@
 """Deleted interpolation: an n-gram language model whose orders are mixed by context frequency.
 
 P(w | u v) = l3 c(uvw)/c(uv) + l2 c(vw)/c(v) + l1 c(w)/N + l0 / (V + 1), with weights l that depend
-on how often the context was seen (powers of two) and are learned by expectation-maximisation on a
+on how often the context was seen (powers of four) and are learned by expectation-maximisation on a
 tenth of the training documents, with the counts of all other training documents.
 
 Counts grow with the corpus and are never gathered: documents are dealt to blocks; every block sends
