@@ -74,3 +74,15 @@ def test_strip_equals_python(spark):
     texts = ["  a b ", "\t\n x ", "\x1c\x85y　", "", " ", "plain"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [r[0] for r in df.select(fc.strip(F.col("t"))).collect()] == [t.strip() for t in texts]
+
+
+def test_digest_of_the_key_is_made_after_the_shuffles(spark):
+    df = build_silver(bronze_reviews(spark, {}, {"text": "y"}), bronze_metadata(spark, {}))
+    above, below = df._jdf.queryExecution().optimizedPlan().toString().split("Window", 1)
+    assert "sha2" in above and "sha2" not in below
+
+
+def test_rows_whose_parts_differ_but_whose_key_text_is_equal_are_one_review(spark):
+    rows = bronze_reviews(spark, {"user_id": "a||b", "parent_asin": "c"}, {"user_id": "a", "parent_asin": "b||c"},
+                          {"user_id": None, "parent_asin": ""}, {"user_id": "", "parent_asin": None})
+    assert build_silver(rows, bronze_metadata(spark, {})).count() == 2
