@@ -31,6 +31,11 @@ def _scratch(spark: SparkSession) -> str:
     return storage.scratch_path(spark, "query")
 
 
+def _built_once(spark, sf_dir, *columns):
+    """Some columns of Silver, written once: what reads them several times builds Silver once."""
+    return storage.stage(b.silver(spark, sf_dir).select(*columns), "silver")[0]
+
+
 def _comparable(silver: DataFrame) -> DataFrame:
     return silver.withColumn("review_timestamp", F.col("review_timestamp").cast("timestamp_ntz"))
 
@@ -92,7 +97,7 @@ def sink_append(spark, sf_dir):
 def src_slice(spark, sf_dir):
     path = _scratch(spark)
     rows = tables.with_bucket(b.silver(spark, sf_dir), schemas.SILVER_TABLE)
-    tables.write_partitions(tables.compact_output(rows, ["category", "year"]), path,
+    tables.write_partitions(tables.compact_output(rows, ["category", "year"], schemas.SILVER_TABLE.digests), path,
                             ["category", "year"])
     return _comparable(tables.read_slice(spark, path, schemas.SILVER_TABLE, "ECONOMY",
                                          "1996-03-01", "1999-08-31"))
@@ -342,7 +347,7 @@ def gold_verified_impact(spark, sf_dir):
 
 @query
 def gold_upsert(spark, sf_dir):
-    path, silver = _scratch(spark), b.silver(spark, sf_dir)
+    path, silver = _scratch(spark), _built_once(spark, sf_dir, *gold.GOLD_INPUT, "ingestion_date")
     early = silver.where("ingestion_date <= date'2026-01-02'")
     for rows in (early, silver):
         upsert.upsert_table(spark, gold.verified_impact(rows), path, schemas.VERIFIED_IMPACT_TABLE)
@@ -353,7 +358,7 @@ def gold_upsert(spark, sf_dir):
 def gold_schema_evolution(spark, sf_dir):
     """Three batches into the same folders: without the star counts, with them and a column that is
     not declared, and without that column again."""
-    path, trends = _scratch(spark), b.category_trends(spark, sf_dir)
+    path, trends = _scratch(spark), storage.stage(b.category_trends(spark, sf_dir), "trends")[0]
     table, weekday = schemas.CATEGORY_TRENDS_TABLE, F.dayofweek("review_date")
     upsert.upsert_table(spark, trends.drop(*bi.STARS), path, table)
     upsert.upsert_table(spark, gold.restrict(trends, "1998-05-01").where(weekday < 5)
@@ -365,7 +370,7 @@ def gold_schema_evolution(spark, sf_dir):
 @query
 def upsert_after_crash(spark, sf_dir):
     """The second of two batches dies after its rows are written; the next run finishes it."""
-    path, trends = _scratch(spark), b.category_trends(spark, sf_dir)
+    path, trends = _scratch(spark), storage.stage(b.category_trends(spark, sf_dir), "trends")[0]
     table, delete_all = schemas.CATEGORY_TRENDS_TABLE, storage.delete_all
     upsert.upsert_table(spark, gold.restrict(trends, None, "1999-12-31"), path, table)
 
@@ -429,7 +434,7 @@ def gold_incremental_full(spark, sf_dir):
 @query
 def gold_late_reviews(spark, sf_dir):
     """Reviews of 1995 come last, by category: stored totals of all later days are corrected."""
-    root, silver = _scratch(spark), b.silver(spark, sf_dir)
+    root, silver = _scratch(spark), _built_once(spark, sf_dir, *schemas.SILVER.names)
     late = silver.where("year(review_date) = 1995")
     for rows, batch in ((silver.where("year(review_date) <> 1995 or review_date is null"), "2026-03-01"),
                         (late.where("category = 'SMALL'"), "2026-03-02"), (late.where("category <> 'SMALL'"), "2026-03-03")):
@@ -594,14 +599,14 @@ def bi_review_bundle(spark, sf_dir):
 @query
 def bi_declining_bundle(spark, sf_dir):
     """Recent reviews of every declining product, in one job."""
-    silver = b.silver(spark, sf_dir)
+    silver = _built_once(spark, sf_dir, *gold.GOLD_INPUT, "review_id", "review_timestamp", "review_text")
     return review_bundle(silver, bi.declining(gold.product_metrics(silver)))
 
 
 # --- SQL surface ----------------------------------------------------------------------------
 
 def _gold_root(spark, sf_dir):
-    root, silver = _scratch(spark), b.silver(spark, sf_dir)
+    root, silver = _scratch(spark), _built_once(spark, sf_dir, *gold.GOLD_INPUT)
     frames = (gold.product_metrics, gold.category_trends, gold.verified_impact)
     for table, build in zip(schemas.GOLD_TABLES, frames):
         upsert.upsert_table(spark, build(silver), f"{root}/{table.name}", table)
