@@ -2,7 +2,7 @@
 
 Texts are cut into passages of PASSAGE words, HOP apart. Passages are TF-IDF vectors over the words
 of the benchmark items; a distributed randomised singular value decomposition of benchmark passages
-and the passages of a bounded sample of documents gives a latent space, in which every passage of
+and all passages of all documents gives a latent space, in which every passage of
 every document is compared with every benchmark passage by cosine. Pairs above a threshold are
 compared again by their whole vectors, and those that remain are checked around the passage: the longest common subsequence of words with the item, and for
 paraphrases whether the item's answer, its last sentence, is there as well.
@@ -29,7 +29,8 @@ PASSAGE = 32
 HOP = 16
 BLOCK = 200
 RANK, OVERSAMPLE = 256, 16
-SAMPLE_DOCUMENTS = 4000
+#: Terms up to which a task counts pairs of terms (100 MB).
+GRAM_TERMS = 5000
 #: Cosine from which a passage is a candidate; share of the squared TF-IDF length of the least
 #: informative benchmark passage that a passage must have to be compared at all: half of the words of
 #: an item bring half of its length, so passages below it hold no leak.
@@ -135,74 +136,87 @@ def _project(passage: np.ndarray, term: np.ndarray, weight: np.ndarray, basis: n
     return passage[first], out
 
 
-def _sum(rows: DataFrame, function, zero: np.ndarray) -> np.ndarray:
-    """Sum over a text column of an array of fixed size that function makes of runs of texts."""
+def _test_weights(items: Items) -> np.ndarray:
+    """Inverse frequencies of the terms in the benchmark itself, a guess made before the documents are read."""
+    term = np.searchsorted(items.vocabulary, np.concatenate(items.words))
+    counts = np.bincount(term, minlength=len(items.vocabulary))
+    return np.log((len(term) / HOP + 1) / np.minimum(counts + 1, len(term) / HOP + 1)) + 0.1
 
-    def add(total, column):
-        for piece in pieces(column):
-            total += function(piece)
-
-    return summed(rows, zero, add)
-
-
-def _idf(docs: DataFrame, text: str, items: Items) -> np.ndarray:
-    """log of all runs of HOP words to those with the term, over all documents."""
-    look = Lookup(items.vocabulary)
-    size = len(items.vocabulary)
-
-    def count(piece):
-        hashes, owner = _words(piece)
-        hop = _half_passages(owner)
-        at, term = look(hashes)
-        pairs = np.unique(hop[at] * size + term)
-        counts = np.bincount(pairs % size, minlength=size + 1)
-        counts[size] = hop[-1] + 1 if len(hop) else 0
-        return counts
-
-    counts = _sum(docs.select(text), count, np.zeros(size + 1, np.int64))
-    return np.log((counts[size] + 1) / (counts[:size] + 1)) + 0.1
 
-
-def _latent(docs: DataFrame, text: str, doc_id: str, items: Items, idf: np.ndarray) -> np.ndarray:
-    """Right singular vectors (terms x rank) of the benchmark's and a sample's passages.
-
-    Randomised range finding with one power step, Q from A'(A W), and a small eigenproblem Q'A'A Q."""
+def _product(entries, basis: np.ndarray) -> np.ndarray:
+    """A'(A basis) of the passages in entries, AT_ONCE of them at a time."""
+    passage, term, weight = entries
+    total = np.zeros(basis.shape)
+    cuts = np.flatnonzero(np.diff(passage, prepend=-1))[::AT_ONCE]
+    for low, high in zip(cuts, [*cuts[1:], len(passage)]):
+        p, t, w = passage[low:high], term[low:high], weight[low:high]
+        rows, projected = _project(p, t, w, basis)
+        order = np.argsort(t, kind="stable")
+        starts = np.flatnonzero(np.diff(t[order], prepend=-1))
+        place = np.searchsorted(rows, p)
+        total[t[order][starts]] += np.add.reduceat((projected[place] * w[:, None])[order], starts, axis=0)
+    return total
+
+
+def _add_pairs(entries, gram: np.ndarray) -> None:
+    """Add the part of A'A on and above the places (term, later term of the passage) to a flat array."""
+    passage, term, weight = entries
+    size = int(np.sqrt(len(gram)))
+    times = np.searchsorted(passage, passage, "right") - np.arange(len(term))
+    until = np.cumsum(times)
+    cuts = np.unique(np.searchsorted(until, np.arange(0, until[-1] if len(until) else 0, 1 << 20)))
+    for low, high in zip(cuts, [*cuts[1:], len(term)]):
+        own, count = np.arange(low, high), times[low:high]
+        left = np.repeat(own, count)
+        right = left + np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count)
+        np.add.at(gram, term[left] * size + term[right], weight[left] * weight[right])
+
+
+def _weights_and_latent(docs: DataFrame, text: str, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """(idf, latent), both of all documents, read once. idf: log of all runs of HOP words to those with
+    the term. latent: right singular vectors (terms x rank) of the benchmark's and all documents' passages.
+
+    Randomised range finding: with A the passages weighted by counts alone, A'A times a random matrix is
+    a sum over documents that needs no idf; rows are weighted afterwards. The sum and the random matrix
+    make up Nystroem's approximation, whose leading vectors are returned."""
     look = Lookup(items.vocabulary)
     size = len(items.vocabulary)
     rank = min(RANK, size)
-    step = max(1, docs.count() // SAMPLE_DOCUMENTS)
-    sample = docs.where(F.pmod(F.xxhash64(F.col(doc_id).cast("string"), text, F.lit("latent")), F.lit(step)) == 0).select(text)
-
-    def product(entries, basis):
-        passage, term, weight = entries
-        total = np.zeros((size, basis.shape[1]))
-        cuts = np.flatnonzero(np.diff(passage, prepend=-1))[::AT_ONCE]
-        for low, high in zip(cuts, [*cuts[1:], len(passage)]):
-            p, t, w = passage[low:high], term[low:high], weight[low:high]
-            rows, projected = _project(p, t, w, basis)
-            order = np.argsort(t, kind="stable")
-            starts = np.flatnonzero(np.diff(t[order], prepend=-1))
-            place = np.searchsorted(rows, p)
-            total[t[order][starts]] += np.add.reduceat((projected[place] * w[:, None])[order], starts, axis=0)
-        return total
-
-    def of_texts(piece):
-        hashes, owner = _words(piece)
-        return _entries(_half_passages(owner), owner, *look(hashes), idf)
-
-    own = _benchmark_entries(items, idf)
-
-    def apply(basis):
-        shared = docs.sparkSession.sparkContext.broadcast(basis.astype(np.float32))
-        found = _sum(sample, lambda piece: product(of_texts(piece), shared.value),
-                     np.zeros((size, basis.shape[1])))
-        return found + product(own, basis)
-
+    ones = np.ones(size)
     start = np.random.default_rng(3).standard_normal((size, min(rank + OVERSAMPLE, size)))
-    basis = np.linalg.qr(apply(start))[0]
-    values, vectors = np.linalg.eigh(basis.T @ apply(basis))
-    best = np.argsort(values)[::-1][:rank]
-    return (basis @ vectors[:, best]).astype(np.float32)
+    start *= _test_weights(items)[:, None]
+    shared = docs.sparkSession.sparkContext.broadcast(start.astype(np.float32))
+
+    def add(total, column):
+        # Many passages share pairs of terms: the pairs are counted first and multiplied once.
+        dense = size <= GRAM_TERMS and column.nbytes > size * size // 4
+        gram = np.zeros(size * size if dense else 0, np.float32)
+        for piece in pieces(column):
+            hashes, owner = _words(piece)
+            if not len(hashes):
+                continue
+            hop = _half_passages(owner)
+            at, term = look(hashes)
+            total[:size, 0] += np.bincount(np.unique(hop[at] * size + term) % size, minlength=size)
+            total[size, 0] += hop[-1] + 1
+            entries = _entries(hop, owner, at, term, ones)
+            if dense:
+                _add_pairs(entries, gram)
+            else:
+                total[:size, 1:] += _product(entries, shared.value)
+        if dense:
+            gram = gram.reshape(size, size)
+            total[:size, 1:] += gram @ shared.value + gram.T @ shared.value - gram.diagonal()[:, None] * shared.value
+
+    sums = summed(docs.select(text), np.zeros((size + 1, 1 + start.shape[1])), add)
+    idf = np.log((sums[size, 0] + 1) / (sums[:size, 0] + 1)) + 0.1
+    # In weighted terms: Y = G T with G = D A'A D, T = start / D.
+    tested = sums[:size, 1:] + _product(_benchmark_entries(items, ones), start)
+    inner = start.T @ tested
+    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+    good = values > values[-1] * 1e-7
+    found = idf[:, None] * tested @ (vectors[:, good] / np.sqrt(values[good]))
+    return idf, np.linalg.svd(found, full_matrices=False)[0][:, :rank].astype(np.float32)
 
 
 def _benchmark_entries(items: Items, idf: np.ndarray):
@@ -314,8 +328,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id:
         items = _items(rows)
         if not items.ids:
             continue
-        idf = _idf(docs, text, items)
-        latent = _latent(docs, text, doc_id, items, idf)
+        idf, latent = _weights_and_latent(docs, text, items)
         passage, term, weight = _benchmark_entries(items, idf)
         queries = np.ascontiguousarray(_normal(_project(passage, term, weight, latent)[1]).T)
         whole = np.zeros((len(items.owner), len(idf)), np.float32)

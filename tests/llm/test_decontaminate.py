@@ -108,3 +108,34 @@ except Exception:
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "found [(1, 7, 'copy')]" in done.stdout and "unreachable" in done.stdout, done.stderr[-2000:]
+
+
+def test_weights_and_latent_space_come_from_all_documents(spark, monkeypatch):
+    """Against idf by counting and the singular vectors of all passages; the texts used to be a sample."""
+    rng = random.Random(5)
+    words = ["w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(60)]
+    items = d._items([(i, " ".join(words[3 * i:3 * i + 12])) for i in range(17)])
+    texts = [" ".join(rng.choice(words[k % 45:k % 45 + 15]) for _ in range(rng.randint(1, 60))) for k in range(9000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    monkeypatch.setattr(d, "RANK", 20)
+    size = len(items.vocabulary)
+    runs, counts, rows = 0, np.zeros(size), []
+    look = d.Lookup(items.vocabulary)
+    for text in texts:
+        hashes = d._words(d.pa.array([text]))[0]
+        own = [look(hashes[k:k + d.HOP])[1] for k in range(0, len(hashes), d.HOP)]
+        runs += len(own)
+        for term in own:
+            counts[np.unique(term)] += 1
+        rows += [np.bincount(np.concatenate(own[k:k + 2]), minlength=size) for k in range(len(own))]
+    want = np.log((runs + 1) / (counts + 1)) + 0.1
+    benchmark = d._benchmark_entries(items, want)
+    own = np.zeros((len(items.owner), size))
+    own[benchmark[0], benchmark[1]] = benchmark[2]
+    matrix = np.vstack([np.sqrt(np.array(rows)) * want, own])
+    best = np.linalg.svd(matrix, full_matrices=False)[1][:20]
+    for terms in (d.GRAM_TERMS, 0):  # pairs of terms counted, passages multiplied one by one
+        monkeypatch.setattr(d, "GRAM_TERMS", terms)
+        idf, latent = d._weights_and_latent(docs, "text", items)
+        assert np.allclose(idf, want)
+        assert np.linalg.norm(matrix @ latent) >= 0.98 * np.linalg.norm(best)
