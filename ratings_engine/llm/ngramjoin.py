@@ -14,10 +14,11 @@ which returns a spanning forest of the links it found instead of pairs.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratings_engine.llm.common import staged, summed
@@ -76,9 +77,10 @@ def _features(docs: DataFrame, text: str, doc_id: str, n: int, percent: int) ->
         features, "doc_id bigint, n_shingles bigint, class binary, group bigint, prefix array<bigint>")
 
 
-def _sets(docs: DataFrame, text: str, doc_id: str, n: int, wanted: DataFrame) -> DataFrame:
-    """(class, n, set) of the wanted classes (class, id). A bit filter of fixed size on the ids picks
-    the texts to read again; the exact join by class follows."""
+def _texts(docs: DataFrame, text: str, doc_id: str, n: int, wanted: DataFrame) -> DataFrame:
+    """(class, packed) of the wanted classes (class, id): a text with the class's set, compressed, as that
+    takes a third of the set's room. A bit filter of fixed size on the ids picks the texts to read
+    again; the exact join by class follows."""
     position = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     marked = wanted.select(position(F.col("id")).alias("p")).groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("b")).agg(
@@ -88,28 +90,46 @@ def _sets(docs: DataFrame, text: str, doc_id: str, n: int, wanted: DataFrame) ->
         bits[at:at + len(packed)] = np.frombuffer(packed, np.uint8)
     filter_ = docs.sparkSession.sparkContext.broadcast(np.packbits(np.unpackbits(bits, bitorder="little")))
 
-    def sets(batches):
+    def packed(batches):
         for batch in batches:
             at = batch.column(1).to_numpy()
             keep = (filter_.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
             texts = batch.column(0).filter(pa.array(keep.astype(bool)))
-            found = list(shingle_sets(texts, n))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found], pa.binary()),
-                 pa.array([x.astype(np.int64) for x in found], pa.list_(pa.int64()))], ["class", "set"])
+                [pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in shingle_sets(texts, n)], pa.binary()),
+                 pa.array([zlib.compress((x.as_py() or "").encode()) for x in texts], pa.binary())], ["class", "packed"])
 
     rows = docs.select(text, position(F.col(doc_id).cast("bigint")).alias("p")).mapInArrow(
-        sets, "class binary, set array<bigint>")
+        packed, "class binary, packed binary")
     return rows.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"])
 
 
-def _forest(percent: int):
+def _sets(packed: pa.Array, n: int):
+    """The shingle sets of compressed texts, few texts at a time."""
+    for first in range(0, len(packed), 64):
+        yield from shingle_sets(pa.array([zlib.decompress(x.as_py()).decode() for x in packed[first:first + 64]]), n)
+
+
+def _alike(n: int, percent: int):
+    def verify(batches):
+        """The pairs (a, b) whose sets, from packed_a and packed_b, are similar enough."""
+        for batch in batches:
+            keep = []
+            for x, y in zip(_sets(batch.column(2), n), _sets(batch.column(3), n), strict=True):
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return verify
+
+
+def _forest(n: int, percent: int):
     def verify(table: pa.Table) -> pa.Table:
         """A spanning forest of the links between the classes of one unit."""
         names = table.column("class").combine_chunks()
-        sets = table.column("set").combine_chunks()
-        sizes = np.diff(sets.offsets.to_numpy())
-        values = sets.flatten().to_numpy(zero_copy_only=False)
+        sets = list(_sets(table.column("packed").combine_chunks(), n))
+        sizes = np.array([len(x) for x in sets])
+        values = np.concatenate(sets)
         _, column, times = np.unique(values, return_inverse=True, return_counts=True)
         shared = times > 1
         place = np.cumsum(shared) - 1
@@ -152,13 +172,17 @@ def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classe
                                           F.first("n_shingles").cast("int").alias("n"), F.first("prefix").alias("prefix"))
     postings = groups.select("group", "n", "members", F.posexplode("prefix").alias("place", "shingle"))
     # Shingles found in the same groups give the same pairs: the first of them in order stands for all,
-    # known by weight and two checksums of the groups.
-    weight = (postings.groupBy("shingle").agg(
-        F.sum("members").alias("weight"), F.min("place").alias("first"), F.bit_xor(F.xxhash64("group")).alias("c"),
-        F.bit_xor(F.xxhash64("group", F.lit("d"))).alias("d")).where("weight > 1")
-        .groupBy("weight", "c", "d").agg(F.min_by("shingle", "first").alias("shingle")).select("shingle", "weight"))
+    # known by weight and two checksums of the groups. One shuffle brings a shingle's groups together; it
+    # is asked for, or the checksums would be made before it and moved.
+    same = Window.partitionBy("shingle")
+    postings = postings.repartition("shingle").withColumns({
+        "weight": F.sum("members").over(same), "first": F.min("place").over(same),
+        "c": F.bit_xor(F.xxhash64("group")).over(same), "d": F.bit_xor(F.xxhash64("group", F.lit("d"))).over(same)})
     spark = docs.sparkSession
-    postings, postings_path = storage.stage(postings.join(weight, "shingle"), "postings")
+    shared, shared_path = storage.stage(postings.where("weight > 1"), "shared")
+    chosen = shared.groupBy("weight", "c", "d").agg(F.min_by("shingle", "first").alias("shingle")).select("shingle")
+    postings, postings_path = storage.stage(shared.drop("first", "c", "d").join(chosen, "shingle"), "postings")
+    storage.delete(spark, shared_path)
     member = classes.select("group", "class", "id")
 
     few = postings.where(F.col("weight") <= FEW)
@@ -180,11 +204,11 @@ def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classe
     storage.delete(spark, postings_path)
     wanted = (pairs.select(F.col("a").alias("class"), F.col("i").alias("id"))
               .unionAll(pairs.select("b", "j")).unionAll(many.select("class", "id")).distinct())
-    sets, sets_path = storage.stage(_sets(docs, text, doc_id, n, wanted), "sets")
-    named = lambda c: sets.select(F.col("class").alias(c), F.col("set").alias(f"set_{c}"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    alike = 100 * common >= percent * (F.size("set_a") + F.size("set_b") - common)
-    linked = pairs.select("a", "b").join(named("a"), "a").join(named("b"), "b").where(alike).select("a", "b")
+    # Read three times below from one shuffle.
+    texts = _texts(docs, text, doc_id, n, wanted)
+    named = lambda c: texts.select(F.col("class").alias(c), F.col("packed").alias(f"packed_{c}"))
+    linked = (pairs.select("a", "b").join(named("a"), "a").join(named("b"), "b")
+              .select("a", "b", "packed_a", "packed_b").mapInArrow(_alike(n, percent), "a binary, b binary"))
 
     # Blocks of a shingle's classes hold equal numbers by hash; a unit is a pair of blocks.
     many = (many.withColumn("blocks", F.ceil(F.col("weight") / BLOCK).cast("int"))
@@ -192,9 +216,9 @@ def _links(docs: DataFrame, text: str, doc_id: str, n: int, percent: int, classe
     units = many.select("shingle", "class", F.explode(F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least("block", k).alias("low"), F.greatest("block", k).alias("high")))).alias("unit"))
-    rows = units.join(sets, "class").select("shingle", "unit.low", "unit.high", "class", "set")
-    forest = rows.groupBy("shingle", "low", "high").applyInArrow(_forest(percent), "a binary, b binary")
-    return linked.unionAll(forest), [pairs_path, many_path, sets_path]
+    rows = units.join(texts, "class").select("shingle", "unit.low", "unit.high", "class", "packed")
+    forest = rows.groupBy("shingle", "low", "high").applyInArrow(_forest(n, percent), "a binary, b binary")
+    return linked.unionAll(forest), [pairs_path, many_path]
 
 
 def link(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ratings_engine.llm import components, ngramjoin
@@ -70,3 +71,29 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, k) for k in range(101, 130)] + [(50, 50), (7, 3)]
     rows = components.connected(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()
     assert sorted((r.node, r.root) for r in rows) == [(i, 0) for i in range(21)] + [(k, 100) for k in range(100, 130)]
+
+
+def test_candidates_travel_as_packed_texts_in_one_shuffle(spark):
+    """Sets of 8 bytes a shingle used to be staged and shuffled for each of the joins that read them."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(2000)]
+    texts = [" ".join(rng.choice(words) for _ in range(300)) for _ in range(60)]
+    common = " ".join(words[:400])
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t + " end") for i, t in enumerate(texts)]
+    rows += [(200 + i, f"{common} {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = ngramjoin._features(docs, "text", "doc_id", 3, 90).withColumnRenamed("doc_id", "id")
+    wanted = classes.select("class", "id")
+    packed = ngramjoin._texts(docs, "text", "doc_id", 3, wanted).toPandas()
+    sets = {bytes(c): x for c, x in zip(packed["class"], ngramjoin._sets(pa.array(packed["packed"], pa.binary()), 3))}
+    assert {bytes(r["class"]): r.n_shingles for r in classes.collect()} == {c: len(x) for c, x in sets.items()}
+    assert packed["packed"].map(len).sum() < 0.75 * sum(8 * len(x) for x in sets.values())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links, _ = ngramjoin._links(docs, "text", "doc_id", 3, 90, classes)
+        plan = links._jdf.queryExecution()
+        assert links.count() >= 60 + 59
+        plan.toRdd().count()
+        assert plan.executedPlan().toString().split("Initial Plan")[0].count("ReusedExchange") >= 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
