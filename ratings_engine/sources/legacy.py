@@ -32,30 +32,51 @@ MARKS = ("overall", "main_category")
 _KEYS = "_keys"
 # Python literals use single quotes, and a backslash before any character.
 _LENIENT = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
-_TOKEN = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+"""
+# Strings without a step of the matcher per character, which a long text has no stack for.
+_STRING = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
+_TOKEN = _STRING + r"""|[^'"]+"""
+#: What a piece outside strings has if it is not JSON yet.
+_FOREIGN = r"""[()'"]|,\s*[\]}]|\b(?:None|True|False)\b|\b[uUbBrR]$"""
+#: Set around strings to split a text there.
+_CUT = "\x1f"
 
 
 def _as_json(line: Column) -> Column:
     """JSON text of a Python literal: outside quotes None, True and False become JSON words, tuples
-    arrays, and string prefixes and closing commas go; inside, escapes by \\x become those by \\u."""
-    def outside(token):
-        for pattern, by in ((r"\bNone\b", "null"), (r"\bTrue\b", "true"), (r"\bFalse\b", "false"),
-                            (r"\(", "["), (r",?\s*\)", "]"), (r",\s*([\]}])", "$1"), (r"\b[uUbBrR]$", "")):
-            token = F.regexp_replace(token, pattern, by)
-        return token
+    arrays, and string prefixes, closing commas and lone quotes go; inside, escapes by \\x become those by \\u."""
+    def outside(piece):
+        def replaced(token, *rules):
+            for pattern, by in rules:
+                token = F.regexp_replace(token, pattern, by)
+            return token
+
+        words = replaced(piece, (r"\bNone\b", "null"), (r"\bTrue\b", "true"), (r"\bFalse\b", "false"))
+        prefix = (r"""\b[uUbBrR](?=['"]|$)""", "")
+        # Most pieces need no rule or few.
+        return (F.when(~piece.rlike(_FOREIGN), piece)
+                .when(piece.rlike(r"""[()'"]|,\s*[\]}]"""), replaced(
+                    words, (r"\(", "["), (r",?\s*\)", "]"), (r",\s*([\]}])", "$1"), prefix, (r"""['"]""", "")))
+                .when(piece.rlike(r"\b[uUbBrR]$"), replaced(words, prefix)).otherwise(words))
 
     def inside(token):
-        return F.regexp_replace(token, r"\\x([0-9A-Fa-f]{2})", r"\\u00$1")
+        return F.when(F.contains(token, F.lit("\\x")), F.regexp_replace(token, r"\\x([0-9A-Fa-f]{2})", r"\\u00$1")).otherwise(token)
 
+    # Every second piece is a string. Splitting costs less than a match for every piece, which is left
+    # for texts that have the character already.
+    pieces = F.split(F.regexp_replace(line, f"({_STRING})", f"{_CUT}$1{_CUT}"), _CUT, -1)
+    split = F.transform(pieces, lambda t, i: F.when(i % 2 == 1, inside(t)).otherwise(outside(t)))
     tokens = F.regexp_extract_all(line, F.lit(_TOKEN), F.lit(0))
-    return F.array_join(F.transform(tokens, lambda t: F.when(t.rlike("^['\"]"), inside(t)).otherwise(outside(t))), "")
+    matched = F.transform(tokens, lambda t: F.when(t.rlike("^['\"]"), inside(t)).otherwise(outside(t)))
+    return F.array_join(F.when(F.contains(line, F.lit(_CUT)), matched).otherwise(split), "")
 
 
 #: Up to so many files of records over many lines, their names travel to every task.
 FEW_FILES = 10_000
-_STRING = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\""""
 _PART = _STRING + r"""|[\[{(]|[\]})]|[^'"\[\]{}()]+"""
 _END = "\x1e"
+#: A line, strings made empty, that is one object with at most simple arrays and tuples in it.
+_SIMPLE = r"""(?:[^\[\]{}()'"]++|""){0,500}+"""
+_WHOLE = rf"""^\{{(?:[^\[\]{{}}()'"]++|""|\[{_SIMPLE}\]|\({_SIMPLE}\)){{0,500}}+\}}\s*,?\s*$"""
 
 
 def _before(rows: DataFrame, value: str, name: str) -> DataFrame:
@@ -74,10 +95,13 @@ def _records(lines: DataFrame) -> DataFrame:
 
     lines: file, block, place, line, base. Brackets outside strings give each line the depth it begins with;
     a record ends where a bracket leads back to `base`, the depth between records. Pieces of a record meet
-    by file and record number. A file cut off in the middle keeps the records before."""
+    by file and record number. A file cut off in the middle keeps the records before. What is read twice,
+    for the sums and behind them, is written once."""
     bare = F.regexp_replace("line", _STRING, '""')
-    opened, closed = (F.length(F.regexp_replace(bare, kept, "")) for kept in (r"[^\[{(]", r"[^\]})]"))
-    placed = _before(lines.withColumn("_turn", opened - closed), "_turn", "_depth")
+    opened, closed = (F.length(F.regexp_replace("_bare", kept, "")) for kept in (r"[^\[{(]+", r"[^\]})]+"))
+    turned = (lines.withColumn("_bare", bare).withColumn("_turn", opened - closed)
+              .withColumn("_whole", F.col("_bare").rlike(_WHOLE)).drop("_bare"))
+    placed = _before(storage.stage(turned, "lines")[0], "_turn", "_depth")
 
     def step(state, token):
         turn = F.when(token.isin("[", "{", "("), 1).when(token.isin("]", "}", ")"), -1).otherwise(0)
@@ -88,8 +112,12 @@ def _records(lines: DataFrame) -> DataFrame:
 
     tokens = F.regexp_extract_all("line", F.lit(_PART), F.lit(0))
     start = F.struct(F.col("_depth").cast("long").alias("depth"), F.lit("").alias("text"))
-    cut = placed.withColumn("_parts", F.split(F.aggregate(tokens, start, step)["text"], _END))
-    numbered = _before(cut.withColumn("_ends", F.size("_parts") - 1), "_ends", "_record")
+    # Most lines are a record each; only others are taken apart.
+    alone = F.array(F.regexp_replace("line", r"[,\s]+$", ""), F.lit(""))
+    cut = placed.withColumn("_parts", F.when(F.col("_whole") & (F.col("_depth") == F.col("base")), alone).otherwise(
+        F.split(F.aggregate(tokens, start, step)["text"], _END)))
+    ended = storage.stage(cut.select("file", "block", "place", "_parts", (F.size("_parts") - 1).alias("_ends")), "parts")[0]
+    numbered = _before(ended, "_ends", "_record")
     parts = (numbered.select("file", "block", "place", "_record", F.posexplode("_parts").alias("k", "part"))
              .where("part <> ''"))
     pieces = F.array_sort(F.collect_list(F.struct("block", "place", "k", "part")))
@@ -121,8 +149,8 @@ def read_raw_any(spark: SparkSession, path, fields: Sequence[str]) -> DataFrame:
     column per field, and _keys, the fields among MARKS that each record has, null or not. How a file is
     written is found file by file. Blank lines, nulls and undecodable lines are left out.
 
-    A line is parsed once. Only one that is no JSON is read as a literal, and only one that names a mark
-    without giving it a value is parsed for its names."""
+    A line is parsed once. One that begins with a name in single quotes is read as a literal first, others
+    only if they are no JSON, and only one that names a mark without giving it a value is parsed for its names."""
     record = "struct<" + ",".join(f"`{name}`:string" for name in fields) + ">"
     marks = [name for name in MARKS if name in fields]
 
@@ -132,9 +160,13 @@ def read_raw_any(spark: SparkSession, path, fields: Sequence[str]) -> DataFrame:
     line = F.col("line")
     tried = _texts(spark, path).select(
         F.when(line.startswith("["), line).otherwise(F.concat(F.lit("["), line, F.lit("]"))).alias("text"))
-    # An array of records is null for text that is no JSON.
-    known = tried.withColumn("json", parsed(F.col("text"), f"array<{record}>"))
-    known = known.withColumn("items", F.coalesce("json", parsed(_as_json(F.col("text")), f"array<{record}>")))
+    # An array of records is null for text that is no JSON. Names in single quotes tell a literal, for
+    # which the first try mostly fails, at some cost.
+    kind = f"array<{record}>"
+    quoted = F.col("text").startswith("[{'")
+    known = tried.withColumn("json", F.when(~quoted, parsed(F.col("text"), kind)))
+    known = known.withColumn("items", F.coalesce("json", parsed(_as_json(F.col("text")), kind),
+                                                 F.when(quoted, parsed(F.col("text"), kind))))
 
     def lacks(name):
         return F.contains("text", F.lit(name)) & F.exists("items", lambda item: item[name].isNull())
