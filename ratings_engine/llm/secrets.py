@@ -1,10 +1,10 @@
-"""Secrets in texts, in DataFrame functions only.
+"""Secrets in texts, in DataFrame functions but for the counting of pairs.
 
 Fixed patterns find keys with a known shape. For all other long runs of key characters, two
 first-order character Markov models, one of random strings and one of ordinary identifiers, give a
 log-likelihood ratio per character; runs above a threshold are secrets as well. What the patterns find
 is cut out of a run and the pieces left are judged by themselves. The models are bigram counts of
-labelled samples from a bounded sample of documents: random are what the patterns found and digests of
+labelled samples from all documents: random are what the patterns found and digests of
 the texts, ordinary are words and identifiers made of neighbouring words in the usual styles (snake and
 camel case, paths, numbered names). The threshold comes from labelled runs that the counts left out.
 A model is a table over pairs of 67 characters, whatever the corpus.
@@ -15,10 +15,13 @@ from __future__ import annotations
 import json
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratings_engine.llm.common import let
+from ratings_engine.llm.text import raw
 
 # Kinds in order, their patterns, group that counts and its least length.
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -30,7 +33,6 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LEAST = 16
 RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 IDENTIFIER = r"[A-Za-z_-]{6,}"
-SAMPLE_DOCUMENTS = 4000
 #: Natural-log odds per pair of characters that a run needs to count as random, where no labelled runs tell.
 THRESHOLD = 0.25
 #: One labelled run in so many is held out for the threshold; quantiles of the held-out ordinary and
@@ -127,15 +129,12 @@ def _identifiers(text: Column) -> Column:
     return let(F.regexp_extract_all(text, F.lit("[A-Za-z]{2,}"), F.lit(0)), groups)
 
 
-def default_samples(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-                    documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """(value, is_random) from about so many documents, chosen by a hash of id and text: values that
-    the patterns found and digests of the texts are random; words outside what the patterns found, and
-    identifiers made of them, are ordinary, as are runs of one character."""
-    step = max(1, docs.count() // documents)
-    chosen = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.col(text), F.lit("sample")), F.lit(step)) == 0
+def default_samples(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(value, is_random) from all documents: values that the patterns found and digests of the texts
+    are random; words outside what the patterns found, and identifiers made of them, are ordinary, as
+    are runs of one character."""
     content = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.where(chosen).select(content.alias("text"), base_spans(content).alias("spans"))
+    rows = docs.select(content.alias("text"), base_spans(content).alias("spans"))
     digest = lambda salt: F.base64(F.unhex(F.sha2(F.concat(F.lit(salt), F.col("text")), 256)))
     random = rows.select(F.explode(F.concat(
         F.transform("spans", lambda s: s["value"]),
@@ -169,15 +168,30 @@ def fit(samples: DataFrame) -> tuple[list[float], float]:
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio of each pair of characters (row by row of the alphabet), with one added
     to every count. Pairs outside the alphabet do not count. Without samples every ratio is 0."""
-    counts = (samples.select("is_random", F.explode(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("value") - 1, F.lit(1))),
-        lambda i: F.substr(F.col("value"), i, F.lit(2)))).alias("pair"))
-        .where(F.length("pair") == 2).groupBy("is_random", "pair").count()
-        .where(F.col("pair").rlike(r"^[A-Za-z0-9+/_=-]{2}$")).collect())
     size = len(ALPHABET)
+    place = np.full(256, -1)
+    place[list(ALPHABET.encode())] = np.arange(size)
+
+    def counted(batches):
+        total = np.zeros(2 * size * size, np.int64)
+        for batch in batches:
+            data, offsets = raw(batch.column(0))
+            code = place[data]
+            label = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(offsets))
+            inside = (code[:-1] >= 0) & (code[1:] >= 0)
+            edges = offsets[(offsets > 0) & (offsets < len(data))]
+            inside[edges - 1] = False
+            first = np.flatnonzero(inside)
+            total += np.bincount((label[first] * size + code[first]) * size + code[first + 1], minlength=len(total))
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["pair", "n"])
+
+    # Within a task pairs are counted by whole columns, as there is one for every character.
+    counts = (samples.select("value", "is_random").mapInArrow(counted, "pair bigint, n bigint")
+              .groupBy("pair").agg(F.sum("n").alias("n")).collect())
     tables = {True: [1.0] * (size * size), False: [1.0] * (size * size)}
-    for label, pair, n in counts:
-        tables[label][ALPHABET.index(pair[0]) * size + ALPHABET.index(pair[1])] += n
+    for pair, n in counts:
+        tables[pair >= size * size][pair % (size * size)] += n
     ratios = []
     for first in range(size):
         rows = {label: tables[label][first * size:(first + 1) * size] for label in tables}
@@ -247,7 +261,7 @@ def _model(docs: DataFrame, text: str, doc_id: str, model: list[float] | None,
            threshold: float | None) -> tuple[list[float], float]:
     learned = THRESHOLD
     if model is None:
-        model, learned = fit(default_samples(docs, text, doc_id))
+        model, learned = fit(default_samples(docs, text))
     return model, learned if threshold is None else threshold
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -125,3 +126,20 @@ def test_awkward_rows(awkward, none):
     assert secrets.scan(awkward).count() == awkward.count()
     assert secrets.scan(none).count() == 0
     assert secrets.redact(awkward).columns == awkward.columns
+
+
+def test_models_are_made_from_all_documents(spark):
+    """Of 9,000 documents every second one used to count."""
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat(F.lit("some ordinary words "), F.col("id")).alias("text"))
+    found = secrets.default_samples(docs)
+    digests = found.where("is_random").select("value")
+    assert digests.count() == 3 * 9000
+    assert found.where("value = 'ordinary'").count() == 9000
+    pairs = spark.createDataFrame([("abca", True), ("é-ab", True), ("ab", False), (None, False), ("c", False), ("a", True)],
+                                  "value string, is_random boolean")
+    model = secrets.train(pairs)
+    size = len(secrets.ALPHABET)
+    at = lambda a, b: model[secrets.ALPHABET.index(a) * size + secrets.ALPHABET.index(b)]
+    assert abs(at("a", "b") - (math.log(3 / (size + 2)) - math.log(2 / (size + 1)))) < 1e-12
+    assert abs(at("c", "a") - (math.log(2 / (size + 1)) - math.log(1 / size))) < 1e-12
+    assert at("b", "a") == math.log(1 / (size + 1)) - math.log(1 / size)
