@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from ratings_engine.llm import suffix
+from ratings_engine.llm import common, suffix
 
 LENGTH = 40
 
@@ -78,3 +78,52 @@ def test_strings_longer_than_the_default_depth(spark):
     got = {r.doc_id: r.n_removed for r in suffix.remove_repeats(
         spark.createDataFrame(rows, "doc_id long, text string"), length=6990).collect()}
     assert got == {1: 7000, 2: 7000, 10: 0, 11: 0, 12: 0}
+
+
+def test_candidates_are_fragments_and_no_rows_per_byte(spark, monkeypatch):
+    """Repeated passages stay fragments of many bytes; only frequent anchors are taken apart."""
+    sizes = {}
+
+    def staged(df, label):
+        out = common.staged(df, label)
+        sizes[label] = sizes.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(suffix, "staged", staged)
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(3000))
+    rows = [(i, passage[i:] + chr(65 + i)) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in suffix.remove_repeats(docs).collect()}
+    assert got[0] == 2999 and got[19] == 2981
+    assert "symbols" not in sizes and sum(sizes.values()) < 20 * 3000 / 20
+
+
+@pytest.mark.parametrize("small", [1, 600, 4000])
+def test_frequent_anchors_are_split_and_ranked(spark, small):
+    """A passage in many contexts: by parts, and by ranks of suffixes if these are too many as well."""
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcd") for _ in range(LENGTH + 3))
+    rows = documents() + [(200 + i, f"{i:03d}"[::-1] * 7 + passage[i % 9:LENGTH - 2 + i % 6] + f"{i * 7 % 50:03d}" * 9)
+                          for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix.remove_repeats(docs, length=LENGTH, gram=8, small=small).drop("spans").collect()
+    assert Counter(tuple(r) for r in got) == brute(rows)
+
+
+def test_strings_equal_on_both_sides_of_the_anchor():
+    found = suffix.repeated_strings(np.array([5, 5, 9]), np.array([3, 3, 3]), np.array([4, 4, 4]),
+                                    [b"xyzabcdefg", b"_yzabcdef-", b"xyzabcdefg"], 7)
+    assert found.tolist() == [[False, True, True, False]] * 2 + [[False] * 4]
+
+
+def test_segments_and_long_periods(spark):
+    """Texts longer than a segment, texts that repeat themselves, and texts in one batch that touch."""
+    rng = random.Random(11)
+    unit = "".join(rng.choice("abcdefgh") for _ in range(97))
+    long = "".join(rng.choice("ab") for _ in range(70000))
+    rows = [(1, unit * 30), (2, "q" * 3000), (3, unit[:50] + "é" * 200 + unit * 3), (4, long), (5, "#" + long[60000:] + "#"),
+            (6, long[:39]), (7, long[39:80]), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = suffix.remove_repeats(docs, length=LENGTH, gram=8).drop("spans").collect()
+    assert Counter(tuple(r) for r in got) == brute(rows)
