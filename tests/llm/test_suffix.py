@@ -5,7 +5,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from ratings_engine.llm import common, suffix
+from ratings_engine.llm import suffix
+from ratings_engine.sources import storage
 
 LENGTH = 40
 
@@ -84,12 +85,14 @@ def test_candidates_are_fragments_and_no_rows_per_byte(spark, monkeypatch):
     """Repeated passages stay fragments of many bytes; only frequent anchors are taken apart."""
     sizes = {}
 
-    def staged(df, label):
-        out = common.staged(df, label)
+    stage = storage.stage
+
+    def counted(df, label):
+        out, path = stage(df, label)
         sizes[label] = sizes.get(label, 0) + out.count()
-        return out
+        return out, path
 
-    monkeypatch.setattr(suffix, "staged", staged)
+    monkeypatch.setattr(storage, "stage", counted)
     rng = random.Random(8)
     passage = "".join(rng.choice("abcdefgh") for _ in range(3000))
     rows = [(i, passage[i:] + chr(65 + i)) for i in range(20)]
