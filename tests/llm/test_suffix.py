@@ -130,3 +130,15 @@ def test_segments_and_long_periods(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     got = suffix.remove_repeats(docs, length=LENGTH, gram=8).drop("spans").collect()
     assert Counter(tuple(r) for r in got) == brute(rows)
+
+
+def test_repeats_inside_one_text_across_segments(spark):
+    """The two places lie in different segments, of a long text and of a short one on a border between two."""
+    rng = random.Random(12)
+    text = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k))
+    far, near = text(60), text(50)
+    for rows in ([(1, far + text(100000) + far), (2, text(200))],
+                 [(1, text(suffix.SEGMENT - 100)), (2, near + text(100) + near), (3, text(70))]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        got = suffix.remove_repeats(docs, length=LENGTH, gram=8).drop("spans").collect()
+        assert Counter(tuple(r) for r in got) == brute(rows)
