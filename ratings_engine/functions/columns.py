@@ -23,6 +23,13 @@ def review_key(user_id: Column, parent_asin: Column, epoch_ms: Column) -> Column
     return F.concat_ws(KEY_SEPARATOR, *parts)
 
 
+def is_clear_key(user_id: Column, parent_asin: Column, epoch_ms: Column) -> Column:
+    """Whether no other parts than these make the same review_key()."""
+    sign = KEY_SEPARATOR[0]
+    return (epoch_ms.isNotNull() & F.coalesce((user_id != "") & ~user_id.contains(sign), F.lit(False))
+            & F.coalesce((parent_asin != "") & ~parent_asin.contains(sign), F.lit(False)))
+
+
 def review_id(user_id: Column, parent_asin: Column, epoch_ms: Column) -> Column:
     """SHA-256 hex of user, product and timestamp."""
     return F.sha2(review_key(user_id, parent_asin, epoch_ms), 256)
@@ -35,6 +42,11 @@ def epoch_ms_to_timestamp(epoch_ms: Column) -> Column:
     return F.when(held, F.timestamp_millis(epoch_ms - epoch_ms % 1000))
 
 
+def epoch_ms_to_date(epoch_ms: Column) -> Column:
+    """Its day in the session's time zone."""
+    return F.to_date(epoch_ms_to_timestamp(epoch_ms))
+
+
 def parse_price(raw: Column) -> Column:
     """First decimal number in the text; null when there is none."""
     return F.regexp_extract(F.coalesce(raw, F.lit("")), PRICE_PATTERN, 1).try_cast("double")
