@@ -1,3 +1,4 @@
+import datetime as dt
 import hashlib
 
 from pyspark.sql import functions as F
@@ -5,7 +6,7 @@ from tests.builders import bronze_metadata, bronze_reviews, day
 
 from ratings_engine import schemas
 from ratings_engine.functions import columns as fc
-from ratings_engine.operators.silver import build_silver, with_event_time, with_review_id
+from ratings_engine.operators.silver import build_silver, unique_reviews, with_event_time, with_review_id
 
 
 def test_review_id_ignores_asin_and_takes_null_as_empty(spark):
@@ -86,3 +87,17 @@ def test_rows_whose_parts_differ_but_whose_key_text_is_equal_are_one_review(spar
     rows = bronze_reviews(spark, {"user_id": "a||b", "parent_asin": "c"}, {"user_id": "a", "parent_asin": "b||c"},
                           {"user_id": None, "parent_asin": ""}, {"user_id": "", "parent_asin": None})
     assert build_silver(rows, bronze_metadata(spark, {})).count() == 2
+
+
+def test_reviews_are_unique_by_the_text_of_their_id(spark):
+    rows = [("a||b", "c", 1, 1.0), ("a", "b||c", 1, 2.0), (None, "c", 1, 3.0), ("", "c", 1, 4.0), ("a", "c", None, 5.0),
+            ("a", "c", 1, 6.0), ("a", "c", 1, 7.0), ("a", "d", 1, 8.0), ("a|", "c", 1, 9.0)]
+    frame = spark.createDataFrame([(*r, dt.date(2026, 1, 1)) for r in rows],
+                                  "user_id string, parent_asin string, timestamp long, rating double, ingestion_date date")
+    got = unique_reviews(frame)
+    assert got.columns == frame.columns
+    # Of equal texts the first by the other columns in the order of their names: product b||c before c.
+    assert sorted(r.rating for r in got.collect()) == [2.0, 3.0, 5.0, 6.0, 8.0, 9.0]
+    assert {tuple(r)[:3] for r in got.collect()} <= {r[:3] for r in rows}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_user_id" in plan and "_key" in plan
